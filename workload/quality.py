@@ -33,8 +33,8 @@ def part_use(t: Tables) -> DataFrame:
 
 @query(
     "validate_survey",
-    f"""{SQL_USE} SELECT CAST(p_partkey AS VARCHAR) AS region_id, CASE WHEN p_size < 40 THEN CAST(p_size AS BIGINT) END AS population,
-CAST(used AS BIGINT) - 20 AS participants, {sql_reasons(
+    f"""{SQL_USE} SELECT CAST(p_partkey AS VARCHAR) AS region_id, CASE WHEN p_size < 40 THEN CAST(p_size AS DOUBLE) END AS population,
+CAST(used AS DOUBLE) - 20 AS participants, {sql_reasons(
         ("population not a count", "p_size >= 40"),
         ("participants not a count", "used < 20"),
         ("participants exceed population", "p_size < 40 AND used - 20 > p_size"),
@@ -46,13 +46,14 @@ def validate_survey(spark, sf):
     raw = part_use(Tables(spark, sf)).select(
         F.col("p_partkey").alias("Place Code"), size.alias("Population"), (F.col("used") - 20).alias("participants")
     )
-    return verdicts(V.clean_survey(raw, "place_code"), "region_id", "population", "participants")
+    out = verdicts(V.clean_survey(raw, "place_code"), "region_id", "population", "participants")
+    return out.withColumns({c: F.col(c).cast("double") for c in ("population", "participants")})
 
 
 @query(
     "validate_census",
     f"""SELECT CAST(o_custkey AS VARCHAR) AS region_id,
-CASE o_orderstatus WHEN 'F' THEN -CAST(o_custkey AS BIGINT) - 1 WHEN 'O' THEN CAST(o_custkey AS BIGINT) END AS total_population,
+CASE o_orderstatus WHEN 'F' THEN -CAST(o_custkey AS DOUBLE) - 1 WHEN 'O' THEN CAST(o_custkey AS DOUBLE) END AS total_population,
 CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS median_income, CAST(NULL AS DOUBLE) AS poverty_rate,
 {sql_reasons(("total_population not a count", "o_orderstatus <> 'O'"), ("median_income not a number", "o_orderpriority = '5-LOW'"))} FROM orders""",
 )
@@ -67,7 +68,8 @@ def validate_census(spark, sf):
     raw = Tables(spark, sf).orders.select(
         F.col("o_custkey").alias("region_id"), total.alias("Total-Population"), income.alias("Median Income")
     )
-    return verdicts(V.clean_census(raw), "region_id", "total_population", "median_income", "poverty_rate")
+    out = verdicts(V.clean_census(raw), "region_id", "total_population", "median_income", "poverty_rate")
+    return out.withColumn("total_population", F.col("total_population").cast("double"))
 
 
 @query(

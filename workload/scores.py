@@ -34,7 +34,7 @@ SQL_NATION = f"""WITH {SQL_NATION_DEMAND}, {SQL_NATION_SUPPLY},
 j AS (SELECT region_id, COALESCE(demand_value, 0.0) AS demand_value, supply_value FROM d FULL JOIN s USING (region_id)),
 {sql_need(1.0, 5000, 10000)}"""
 NEED_COLUMNS = """region_id, ROUND(demand_value, 2) AS demand_value, ROUND(supply_value, 2) AS supply_value,
-ROUND(need_score, 6) AS need_score, need_class, priority_rank"""
+ROUND(need_score, 6) AS need_score, need_class, CAST(priority_rank AS DOUBLE) AS priority_rank"""
 
 
 def nation_table(t: Tables) -> DataFrame:
@@ -43,6 +43,8 @@ def nation_table(t: Tables) -> DataFrame:
 
 
 def tidy(df: DataFrame) -> DataFrame:
+    """Rounded for comparison; ranks as doubles, the form a missing rank has in tabular files."""
+    df = df.withColumn("priority_rank", F.col("priority_rank").cast("double"))
     return rounded(df, demand_value=2, supply_value=2, need_score=6)
 
 
@@ -172,12 +174,13 @@ def need_rank_by_priority(spark, sf):
     "need_rank_global_lineitem",
     """WITH q AS (SELECT l_suppkey, l_partkey, NULLIF(CAST(SUM(CAST(l_quantity AS BIGINT)) AS DOUBLE), 25.0) AS need_score
 FROM lineitem GROUP BY 1, 2)
-SELECT *, CASE WHEN need_score IS NOT NULL THEN RANK() OVER (ORDER BY need_score DESC NULLS LAST) END AS priority_rank FROM q""",
+SELECT *, CAST(CASE WHEN need_score IS NOT NULL THEN RANK() OVER (ORDER BY need_score DESC NULLS LAST) END AS DOUBLE) AS priority_rank FROM q""",
 )
 def need_rank_global_lineitem(spark, sf):
     """Heavy ties and missing scores."""
     pairs = Tables(spark, sf).lineitem.groupBy("l_suppkey", "l_partkey").agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("q"))
-    return add_rank(pairs.select("l_suppkey", "l_partkey", F.nullif(F.col("q"), F.lit(25.0)).alias("need_score")))
+    ranked = add_rank(pairs.select("l_suppkey", "l_partkey", F.nullif(F.col("q"), F.lit(25.0)).alias("need_score")))
+    return ranked.withColumn("priority_rank", F.col("priority_rank").cast("double"))
 
 
 SQL_ACTIVITY = f"""WITH {SQL_ORDERS},
@@ -345,12 +348,14 @@ def class_breaks(spark, sf):
 @query(
     "class_bins",
     f"""{SQL_CUSTOMER}, {SQL_EDGES}
-SELECT region_id, CASE WHEN need_score IS NOT NULL THEN 1 + CAST(need_score >= lo + (hi - lo) / 5 AS INTEGER)
+SELECT region_id, CAST(CASE WHEN need_score IS NOT NULL THEN 1 + CAST(need_score >= lo + (hi - lo) / 5 AS INTEGER)
 + CAST(need_score >= lo + 2 * ((hi - lo) / 5) AS INTEGER) + CAST(need_score >= lo + 3 * ((hi - lo) / 5) AS INTEGER)
-+ CAST(need_score >= lo + 4 * ((hi - lo) / 5) AS INTEGER) END AS score_bin FROM n, lim""",
++ CAST(need_score >= lo + 4 * ((hi - lo) / 5) AS INTEGER) END AS DOUBLE) AS score_bin FROM n, lim""",
 )
 def class_bins(spark, sf):
-    return M.with_class_bin(customer_table(Tables(spark, sf))).select("region_id", "score_bin")
+    return M.with_class_bin(customer_table(Tables(spark, sf))).select(
+        "region_id", F.col("score_bin").cast("double").alias("score_bin")
+    )
 
 
 @query("score_sentinel", f"{SQL_CUSTOMER} SELECT region_id, ROUND(COALESCE(need_score, -1), 6) AS shown FROM n")
