@@ -165,7 +165,17 @@ def share_of_total(value: Column, total: Column) -> Column:
 
 
 def score_text(score: Column, decimals: int = 3, missing: str = "-") -> Column:
-    return F.coalesce(F.when(score.isNotNull(), F.format_string(f"%.{decimals}f", score)), F.lit(missing))
+    """Fixed-point text, rounded from the exact binary value (``format_string`` rounds the shortest digits).
+
+    Whole and fractional part are both exact as doubles, and the fraction alone has digits to spare.
+    """
+    size = F.abs(score)
+    whole = F.floor(size).cast("double")
+    exact = whole.try_cast("decimal(38,18)") + (size - whole).try_cast("decimal(38,18)")
+    digits = F.bround(exact, decimals).try_cast(T.DecimalType(38, decimals)).cast("string")
+    plain = F.coalesce(digits, F.format_string(f"%.{decimals}f", size))
+    text = F.when(score < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
+    return F.coalesce(F.when(score.isNotNull(), text), F.lit(missing))
 
 
 def region_text(region: Column, width: int = 20) -> Column:

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regional_balance import schema as S
 from regional_balance.functions import geometry as G
@@ -90,7 +91,11 @@ def export_results(
 
     def store(name: str, df: DataFrame) -> DataFrame:
         paths[name] = write_run(df, root, name, run_ts, vintage)
-        return spark.read.schema(df.schema).parquet(f"{paths[name]}/vintage={vintage}/run_ts={run_ts}")
+        # With the schema given, a history that holds no rows yet reads as an empty table.
+        schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.StringType()) for c in ("vintage", "run_ts"))])
+        history = spark.read.schema(schema).parquet(paths[name])
+        this_run = (F.col("vintage") == vintage) & (F.col("run_ts") == run_ts)
+        return history.filter(this_run).drop("vintage", "run_ts")
 
     def publish(name: str, df: DataFrame) -> None:
         stable = CURRENT_NAMES[name]

@@ -147,6 +147,9 @@ def test_improvement_rule_keeps_rows_with_missing_parts(spark):
 def test_display_text(spark):
     assert apply(spark, [1.23456, None, 0.0], C.score_text, "double") == ["1.235", "-", "0.000"]
     assert apply(spark, [1.0, None], lambda c: C.score_text(c, 6, "—"), "double") == ["1.000000", "—"]
+    hard = [0.0625, 2.0005, -1.2345, 1148425755.4285715, 1e-9, 0.1875, 123456789012345.67, -0.0001]
+    for d in (3, 6):
+        assert apply(spark, hard, lambda c: C.score_text(c, d), "double") == [f"{v:.{d}f}" for v in hard]
     assert apply(spark, ["a" * 30, None], C.region_text) == ["a" * 20, None]
     assert apply(spark, [None, 2.0], C.score_or_sentinel, "double") == [-1.0, 2.0]
 

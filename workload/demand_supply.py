@@ -114,8 +114,9 @@ def demand_regions(spark, sf):
 
 @query(
     "demand_wide_to_long",
-    f"""WITH {SQL_ORDERS}, w AS (SELECT n_name AS region_id, seg AS activity, SUM(v) AS v FROM o GROUP BY GROUPING SETS ((1, 2), (2)))
-SELECT COALESCE(region_id, 'GRAND TOTAL') AS region_id, activity, CAST(v AS DOUBLE) AS demand FROM w""",
+    f"""WITH {SQL_ORDERS}, w AS (SELECT COALESCE(n_name, 'GRAND TOTAL') AS region_id, seg AS activity, SUM(v) AS v FROM o GROUP BY GROUPING SETS ((n_name, seg), (seg)))
+SELECT r.region_id, a.activity, CAST(COALESCE(v, 0) AS DOUBLE) AS demand FROM (SELECT DISTINCT region_id FROM w) r
+CROSS JOIN (SELECT DISTINCT activity FROM w) a LEFT JOIN w ON w.region_id = r.region_id AND w.activity = a.activity""",
 )
 def demand_wide_to_long(spark, sf):
     return D.demand_long(wide_demand(Tables(spark, sf)), SEGMENTS)
