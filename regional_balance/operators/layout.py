@@ -50,15 +50,23 @@ def _has_value(c: Column) -> Column:
     return c.isNotNull() & (F.lower(C.strip(c)) != "nan") & (C.strip(c) != "")
 
 
-def _fixed_layouts(cells: DataFrame, activities: Sequence[str]) -> DataFrame:
+def _column_profile(cells: DataFrame) -> DataFrame:
+    """Per sheet and column: last row, last row that is not missing, last row that holds text. One pass over all cells."""
+    return cells.groupBy(*_SHEET, "sheet", "col").agg(
+        F.max("row").alias("last_row"),
+        F.max(F.when(F.col("value").isNotNull(), F.col("row"))).alias("last_present"),
+        F.max(F.when(_has_value(F.col("value")), F.col("row"))).alias("last_text"),
+    )
+
+
+def _fixed_layouts(profile: DataFrame, activities: Sequence[str]) -> DataFrame:
     """Sheets with title rows, then index, region and activity columns in standard order."""
     width = 2 + len(activities)
-    in_region = (F.col("row") >= S.FIXED_LAYOUT_TITLE_ROWS) & (F.col("col") == 1) & F.col("value").isNotNull()
-    shape = cells.groupBy(*_SHEET).agg(
-        F.first("sheet").alias("sheet"),
-        (F.max("row") + 1).alias("rows"),
+    in_region = (F.col("col") == 1) & (F.col("last_present") >= S.FIXED_LAYOUT_TITLE_ROWS)
+    shape = profile.groupBy(*_SHEET, "sheet").agg(
+        (F.max("last_row") + 1).alias("rows"),
         (F.max("col") + 1).alias("cols"),
-        F.max(in_region).alias("has_region"),
+        F.max(F.coalesce(in_region, F.lit(False))).alias("has_region"),
     )
     fits = (F.col("cols") >= width) & (F.col("rows") >= S.FIXED_LAYOUT_MIN_ROWS) & F.col("has_region")
     return shape.filter(fits).select(
@@ -71,14 +79,12 @@ def _fixed_layouts(cells: DataFrame, activities: Sequence[str]) -> DataFrame:
     )
 
 
-def _header_layouts(cells: DataFrame, activities: Sequence[str]) -> DataFrame:
+def _header_layouts(cells: DataFrame, profile: DataFrame, activities: Sequence[str]) -> DataFrame:
     """Rows among the first ones that name a region column and every activity."""
     head = cells.filter((F.col("row") < S.HEADER_SEARCH_ROWS) & _has_value(F.col("value")))
-    row = [*_SHEET, "row"]
+    row = [*_SHEET, "sheet", "row"]
     # Of columns with the very same header only the first counts.
-    named = head.groupBy(*row, C.strip(F.col("value")).alias("name")).agg(
-        F.first("sheet").alias("sheet"), F.min("col").alias("col")
-    )
+    named = head.groupBy(*row, C.strip(F.col("value")).alias("name")).agg(F.min("col").alias("col"))
     lower, key, col = F.lower("name"), C.label_key(F.col("name")), F.col("col")
     spelled = {a: F.struct((lower != a.lower()).alias("by_key"), col.alias("col")) for a in activities}
     picks = [
@@ -88,7 +94,7 @@ def _header_layouts(cells: DataFrame, activities: Sequence[str]) -> DataFrame:
     regions = [F.max(F.when(lower == r, col)).alias(f"_r{i}") for i, r in enumerate(S.SHEET_REGION_NAMES)]
     activity_keys = [N.name_key(a) for a in activities]
     other = F.min(F.when(~key.isin(*activity_keys) & ~lower.startswith("unnamed"), col)).alias("_other")
-    found = named.groupBy(*row).agg(F.first("sheet").alias("sheet"), *picks, *regions, other)
+    found = named.groupBy(*row).agg(*picks, *regions, other)
     region = F.coalesce(*[F.col(f"_r{i}") for i in range(len(S.SHEET_REGION_NAMES))], F.col("_other"))
     chosen = F.array(*[F.col(f"_a{i}.col") for i in range(len(activities))])
     complete = region.isNotNull()
@@ -103,16 +109,16 @@ def _header_layouts(cells: DataFrame, activities: Sequence[str]) -> DataFrame:
         chosen.alias("activity_cols"),
     )
     # The region column must hold something below the header.
-    below = cells.filter(_has_value(F.col("value"))).groupBy(*_SHEET, "col").agg(F.max("row").alias("_last"))
-    below = below.withColumnRenamed("col", "region_col")
-    used = layouts.join(below, [*_SHEET, "region_col"], "inner").filter(F.col("_last") > F.col("header_row"))
+    below = profile.select(*_SHEET, F.col("col").alias("region_col"), "last_text")
+    used = layouts.join(below, [*_SHEET, "region_col"], "inner").filter(F.col("last_text") > F.col("header_row"))
     return used.select(*layouts.columns)
 
 
 def find_layouts(cells: DataFrame, activities: Sequence[str] = S.ACTIVITIES) -> DataFrame:
     """The layout to read each file by: fixed before header, preferred sheets first, upper header rows first."""
     activities = list(activities)
-    every = _fixed_layouts(cells, activities).unionByName(_header_layouts(cells, activities))
+    profile = _column_profile(cells)
+    every = _fixed_layouts(profile, activities).unionByName(_header_layouts(cells, profile, activities))
     order = F.struct("layout", sheet_preference(F.col("sheet")).alias("preference"), "sheet_idx", "header_row")
     best = F.min_by(F.struct("sheet_idx", "layout", "header_row", "region_col", "activity_cols"), order).alias("best")
     return every.groupBy("file").agg(best).select("file", "best.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -15,12 +15,17 @@ from regional_balance.operators.score import keep_last
 SUPERSEDED_LAYER_COLUMNS = ("need_score", "need_class", "priority_rank", "demand_value", "supply_value")
 
 
-def _pair(per_activity: DataFrame, supply: DataFrame, by: Sequence[str]) -> DataFrame:
-    # No broadcast hint: without `by` the demand side has one row per activity and adaptive execution
-    # broadcasts it by its measured size; with many groups it falls back to a shuffled join.
+def _pair(per_activity: DataFrame, supply: DataFrame, by: Sequence[str], activities: Iterable[str] | None) -> DataFrame:
+    """Equi-join on activity. Activity demand has one row per activity and group, so with the ``activities`` listed
+    and no groups its size is that of the list and it is broadcast; otherwise adaptive execution decides."""
     S.require(per_activity, *by, "activity", "demand_value", what="activity demand")
     S.require(supply, *by, "region_id", "activity", "supply_value", what="activity supply")
-    return supply.join(per_activity.select(*by, "activity", "demand_value"), [*by, "activity"], "inner")
+    demand = per_activity.select(*by, "activity", "demand_value")
+    if activities is not None:
+        demand = demand.filter(F.col("activity").isin(*activities))
+        if not by:
+            demand = F.broadcast(demand)
+    return supply.join(demand, [*by, "activity"], "inner")
 
 
 def activity_metrics(
@@ -28,10 +33,11 @@ def activity_metrics(
     supply: DataFrame,
     by: Sequence[str] = (),
     params: S.ScoreParams = S.ScoreParams(),
+    activities: Iterable[str] | None = None,
 ) -> DataFrame:
     """Gap, supply/demand ratio and need score of every supply region and activity."""
     d, s = F.col("demand_value"), F.col("supply_value")
-    return _pair(per_activity, supply, by).select(
+    return _pair(per_activity, supply, by, activities).select(
         *by,
         "region_id",
         "activity",
@@ -49,6 +55,7 @@ def activity_scores(
     activity: str | None = None,
     by: Sequence[str] = (),
     params: S.ScoreParams = S.ScoreParams(),
+    activities: Iterable[str] | None = None,
 ) -> DataFrame:
     """Ranking table (by..., activity, Region, activity_demand, ActivityNeedScore), all activities at once.
 
@@ -56,8 +63,8 @@ def activity_scores(
     """
     if activity is not None:
         supply = supply.filter(F.col("activity") == activity)
-        per_activity = per_activity.filter(F.col("activity") == activity)
-    rows = _pair(per_activity, supply, by).filter((F.col("region_id") != "") & ~C.is_summary_row(F.col("region_id")))
+        activities = [activity]
+    rows = _pair(per_activity, supply, by, activities).filter((F.col("region_id") != "") & ~C.is_summary_row(F.col("region_id")))
     return rows.select(
         *by,
         "activity",

@@ -12,6 +12,10 @@ from regional_balance.functions import geometry as G
 from regional_balance.functions import names as N
 
 
+BROADCAST_BYTES = 128 * 1024 * 1024
+_EDGE_BYTES, _CELL_BYTES = 48, 200
+
+
 def to_crs(df: DataFrame, srid: int = S.SRID_WORKING, geometry: str = "geometry") -> DataFrame:
     return df.withColumn(geometry, G.reproject(F.col(geometry), srid))
 
@@ -40,9 +44,8 @@ def grid_size(targets: DataFrame, geometry: str = "geometry") -> float:
     """
     b = G.bbox(F.col(geometry))
     w, h = b["x2"] - b["x1"], b["y2"] - b["y1"]
-    row = targets.filter(F.col(geometry).isNotNull()).select(w.alias("w"), h.alias("h")).agg(
-        F.avg((F.col("w") + F.col("h")) / 2).alias("side"), F.avg(F.col("w") * F.col("h")).alias("area")
-    ).first()
+    sizes = targets.filter(F.col(geometry).isNotNull()).select(w.alias("w"), h.alias("h"))
+    row = sizes.agg(F.avg((F.col("w") + F.col("h")) / 2).alias("side"), F.avg(F.col("w") * F.col("h")).alias("area")).first()
     side = max(row["side"] or 0.0, (row["area"] or 0.0) ** 0.5)
     return side if side > 0 else 1.0
 
@@ -51,22 +54,48 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size))
 
 
+def _cell_range(lo: Column, hi: Column, size: float) -> Column:
+    return F.sequence(_cell(lo, size), _cell(hi, size))
+
+
+def cells_bytes(targets: DataFrame, size: float, geometry: str = "geometry") -> int:
+    """Upper bound of the memory that the cells of a layer take: every edge in every cell of its target."""
+    b = G.bbox(F.col(geometry))
+    across = _cell(b["x2"], size) - _cell(b["x1"], size) + 1
+    down = _cell(b["y2"], size) - _cell(b["y1"], size) + 1
+    edges = F.size(G.vertices(F.col(geometry)))
+    each = (across * down * (edges * _EDGE_BYTES + _CELL_BYTES)).cast("decimal(38,0)")
+    row = targets.filter(F.col(geometry).isNotNull()).select(each.alias("n")).agg(F.sum("n").alias("n")).first()
+    return int(row["n"] or 0)
+
+
 def _target_cells(targets: DataFrame, size: float, ident: list[Column], geometry: str) -> DataFrame:
-    """One row per target and covered cell, carrying only the edges a ray from within the cell can meet."""
+    """One row per target and covered cell, carrying only the edges a ray from within the cell can meet.
+
+    A cell that no edge passes lies wholly inside or outside: ``_inside`` answers for all its points, and cells
+    outside are dropped.
+    """
     b = G.bbox(F.col(geometry))
     boxed = targets.filter(F.col(geometry).isNotNull()).select(*ident, b.alias("_b"), G.edges(F.col(geometry)).alias("_e"))
-    cells = boxed.withColumn(
-        "_cx", F.explode(F.sequence(_cell(F.col("_b.x1"), size), _cell(F.col("_b.x2"), size)))
-    ).withColumn("_cy", F.explode(F.sequence(_cell(F.col("_b.y1"), size), _cell(F.col("_b.y2"), size))))
+    cells = boxed.withColumn("_cx", F.explode(_cell_range(F.col("_b.x1"), F.col("_b.x2"), size)))
+    cells = cells.withColumn("_cy", F.explode(_cell_range(F.col("_b.y1"), F.col("_b.y2"), size)))
+    cx, cy = F.col("_cx"), F.col("_cy")
 
     def reachable(e: Column) -> Column:
         return (
-            (_cell(F.least(e["y1"], e["y2"]), size) <= F.col("_cy"))
-            & (_cell(F.greatest(e["y1"], e["y2"]), size) >= F.col("_cy"))
-            & (_cell(F.greatest(e["x1"], e["x2"]), size) >= F.col("_cx"))
+            (_cell(F.least(e["y1"], e["y2"]), size) <= cy)
+            & (_cell(F.greatest(e["y1"], e["y2"]), size) >= cy)
+            & (_cell(F.greatest(e["x1"], e["x2"]), size) >= cx)
         )
 
-    return cells.withColumn("_e", F.filter("_e", reachable))
+    def passes(e: Column) -> Column:
+        return _cell(F.least(e["x1"], e["x2"]), size) <= cx
+
+    half = F.lit(size / 2)
+    cells = cells.withColumn("_e", F.filter("_e", reachable))
+    centre = G.covers_point(F.col("_e"), cx * F.lit(size) + half, cy * F.lit(size) + half)
+    cells = cells.withColumn("_inside", F.when(~F.exists("_e", passes), centre))
+    return cells.filter(F.col("_inside").isNull() | F.col("_inside"))
 
 
 def spatial_join(
@@ -78,11 +107,14 @@ def spatial_join(
     geometry: str = "geometry",
     source_id: str | None = None,
     srid: int = S.SRID_WORKING,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join source geometries to the target regions they intersect; boundary contact counts.
 
     Points carry one cell each and a target covers a cell once, so the equi-join on cells needs neither row ids
-    nor de-duplication, and adaptive execution can broadcast the cells or split a crowded one. Polygon sources
+    nor de-duplication. The cells are broadcast if a bound on their size, computed from the layer, is at most
+    ``broadcast_bytes``; the points then do not move at all. Otherwise both sides are shuffled by cell and
+    adaptive execution splits a crowded one. Polygon sources
     (``source_id`` given) meet a target in several cells; a pair is kept only in the cell that holds the lower
     left corner of the intersection of their boxes.
 
@@ -96,13 +128,16 @@ def spatial_join(
     regions = to_crs(target.select(target_id, geometry), srid, geometry)
     size = float(cell_size) if cell_size is not None else grid_size(regions, geometry)
     if source_id is None:
-        return _join_points(source, regions, target_id, how, size, geometry)
+        small = cells_bytes(regions, size, geometry) <= broadcast_bytes
+        return _join_points(source, regions, target_id, how, size, geometry, small)
     return _join_polygons(source, regions, target_id, how, size, geometry, source_id)
 
 
-def _join_points(source, regions, target_id, how, size, geometry):
+def _join_points(source, regions, target_id, how, size, geometry, small):
     columns = source.columns
     cells = _target_cells(regions, size, [F.col(target_id)], geometry)
+    if small:
+        cells = F.broadcast(cells)
     x, y = G.point_x(F.col(geometry)), G.point_y(F.col(geometry))
     points = source.withColumns({"_x": x, "_y": y})
     points = points.withColumns({"_px": _cell(F.col("_x"), size), "_py": _cell(F.col("_y"), size)})
@@ -111,7 +146,7 @@ def _join_points(source, regions, target_id, how, size, geometry):
         & (F.col("_py") == F.col("_cy"))
         & F.col("_x").between(F.col("_b.x1"), F.col("_b.x2"))
         & F.col("_y").between(F.col("_b.y1"), F.col("_b.y2"))
-        & G.covers_point(F.col("_e"), F.col("_x"), F.col("_y"))
+        & F.coalesce(F.col("_inside"), G.covers_point(F.col("_e"), F.col("_x"), F.col("_y")))
     )
     if how == "left":
         return points.join(cells, hit, "left").select(*columns, target_id)
@@ -128,9 +163,8 @@ def _join_polygons(source, regions, target_id, how, size, geometry, source_id):
             F.col(ident).alias(f"_{alias}"), b.alias(f"_b{alias}"), G.edges(F.col(geometry)).alias(f"_e{alias}")
         )
         bb = F.col(f"_b{alias}")
-        return boxed.withColumn("_cx", F.explode(F.sequence(_cell(bb["x1"], size), _cell(bb["x2"], size)))).withColumn(
-            "_cy", F.explode(F.sequence(_cell(bb["y1"], size), _cell(bb["y2"], size)))
-        )
+        across = boxed.withColumn("_cx", F.explode(_cell_range(bb["x1"], bb["x2"], size)))
+        return across.withColumn("_cy", F.explode(_cell_range(bb["y1"], bb["y2"], size)))
 
     a, b = F.col("_bs"), F.col("_bt")
     left_x, left_y = F.greatest(a["x1"], b["x1"]), F.greatest(a["y1"], b["y1"])
@@ -172,8 +206,8 @@ def assign_regions(
         raise ValueError(f"assign must be 'all' or 'first', not {assign!r}")
     S.require(facilities, "facility_id", what="facilities")
     firsts = joined.groupBy("facility_id").agg(F.min(region).alias("_first"))
-    keep = joined.join(firsts.withColumnRenamed("facility_id", "_fid"), (F.col("facility_id") == F.col("_fid")) & (F.col(region) == F.col("_first")), "left_semi")
-    return keep
+    firsts = firsts.withColumnRenamed("facility_id", "_fid")
+    return joined.join(firsts, (F.col("facility_id") == F.col("_fid")) & (F.col(region) == F.col("_first")), "left_semi")
 
 
 def total_area(df: DataFrame, geometry: str = "geometry", by: Sequence[str] = ()) -> DataFrame:

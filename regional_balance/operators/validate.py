@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,22 +37,27 @@ def check(df: DataFrame, rules: Mapping[str, Column]) -> Validated:
     return Validated(df.withColumn("reasons", F.array_compact(F.array(*broken))))
 
 
-def _typed(df: DataFrame, raw: Mapping[str, Column], rules: Mapping[str, Column], extra: tuple[str, ...] = ()) -> Validated:
-    """Select the typed columns, keep what the rules need of the raw ones, check, and drop the helpers."""
-    helpers = {f"_ok_{i}": ok for i, ok in enumerate(rules.values())}
-    wide = df.select(*extra, *[c.alias(n) for n, c in raw.items()], *[c.alias(n) for n, c in helpers.items()])
-    checked = check(wide, {reason: F.col(h) for reason, h in zip(rules, helpers)}).checked
-    return Validated(checked.drop(*helpers))
+def _typed(df: DataFrame, typed: Mapping[str, Column], rules: Mapping[str, Column], extra: Sequence[str] = ()) -> Validated:
+    """Coerce first, then check: rules are written over the typed columns, so each value is parsed once.
+
+    Typed columns whose name starts with ``_`` only serve the rules.
+    """
+    coerced = df.select(*extra, *[c.alias(n) for n, c in typed.items()])
+    checked = check(coerced, rules).checked
+    return Validated(checked.drop(*[n for n in typed if n.startswith("_")]))
 
 
-def _optional_number(df: DataFrame, name: str) -> tuple[Column, Column]:
-    """Typed value of an optional number and whether it is acceptable (absent, missing or a number)."""
+def _optional_number(df: DataFrame, name: str) -> dict[str, Column]:
+    """Typed value of an optional number, and whether the raw column holds anything."""
     if name not in df.columns:
-        return F.lit(None).cast("double"), F.lit(True)
-    value = C.number(df, name).cast("double")
+        return {name: F.lit(None).cast("double"), f"_has_{name}": F.lit(False)}
     text = C.strip(N.quoted(name).cast("string"))
-    blank = text.isNull() | (F.lower(text) == "nan")
-    return value, blank | value.isNotNull()
+    present = text.isNotNull() & (F.lower(text) != "nan")
+    return {name: C.number(df, name).cast("double"), f"_has_{name}": present}
+
+
+def _is_number_or_missing(name: str) -> Column:
+    return F.col(name).isNotNull() | ~F.col(f"_has_{name}")
 
 
 def _optional_text(df: DataFrame, name: str) -> Column:
@@ -70,16 +75,18 @@ def clean_survey(df: DataFrame, region_col: str = "region_id") -> Validated:
     """region_id, population >= 0, participants >= 0 and not above the population; whole numbers only."""
     df = _prepare(df, region_col)
     S.require(df, "region_id", "population", "participants", what="survey")
-    region = F.col("region_id").cast("string")
-    population, participants = C.whole_number(df, "population"), C.whole_number(df, "participants")
     return _typed(
         df,
-        {"region_id": region, "population": population, "participants": participants},
         {
-            "region_id missing": region.isNotNull(),
-            "population not a count": population >= 0,
-            "participants not a count": participants >= 0,
-            "participants exceed population": F.coalesce(participants <= population, F.lit(True)),
+            "region_id": F.col("region_id").cast("string"),
+            "population": C.whole_number(df, "population"),
+            "participants": C.whole_number(df, "participants"),
+        },
+        {
+            "region_id missing": F.col("region_id").isNotNull(),
+            "population not a count": F.col("population") >= 0,
+            "participants not a count": F.col("participants") >= 0,
+            "participants exceed population": F.coalesce(F.col("participants") <= F.col("population"), F.lit(True)),
         },
     )
 
@@ -88,17 +95,19 @@ def clean_census(df: DataFrame, region_col: str = "region_id") -> Validated:
     """region_id, total_population >= 0; median_income and poverty_rate optional."""
     df = _prepare(df, region_col)
     S.require(df, "region_id", "total_population", what="census")
-    region, total = F.col("region_id").cast("string"), C.whole_number(df, "total_population")
-    income, income_ok = _optional_number(df, "median_income")
-    poverty, poverty_ok = _optional_number(df, "poverty_rate")
     return _typed(
         df,
-        {"region_id": region, "total_population": total, "median_income": income, "poverty_rate": poverty},
         {
-            "region_id missing": region.isNotNull(),
-            "total_population not a count": total >= 0,
-            "median_income not a number": income_ok,
-            "poverty_rate not a number": poverty_ok,
+            "region_id": F.col("region_id").cast("string"),
+            "total_population": C.whole_number(df, "total_population"),
+            **_optional_number(df, "median_income"),
+            **_optional_number(df, "poverty_rate"),
+        },
+        {
+            "region_id missing": F.col("region_id").isNotNull(),
+            "total_population not a count": F.col("total_population") >= 0,
+            "median_income not a number": _is_number_or_missing("median_income"),
+            "poverty_rate not a number": _is_number_or_missing("poverty_rate"),
         },
     )
 
@@ -114,22 +123,20 @@ def clean_facilities(df: DataFrame, region_col: str | None = None) -> Validated:
         df = df.withColumn("facility_id", content_id(df))
     if "facility_type" not in df.columns:
         df = df.withColumn("facility_type", F.lit("unknown"))
-    facility, kind = F.col("facility_id").cast("string"), F.col("facility_type").cast("string")
-    capacity, capacity_ok = _optional_number(df, "capacity")
     contract = {
-        "facility_id": facility,
+        "facility_id": F.col("facility_id").cast("string"),
         "region_id": _optional_text(df, "region_id"),
-        "facility_type": kind,
-        "capacity": capacity,
+        "facility_type": F.col("facility_type").cast("string"),
+        **_optional_number(df, "capacity"),
     }
-    extra = tuple(c for c in df.columns if c not in contract)
+    extra = [c for c in df.columns if c not in contract]
     return _typed(
         df,
         contract,
         {
-            "facility_id missing": facility.isNotNull(),
-            "facility_type missing": kind.isNotNull(),
-            "capacity not a number": capacity_ok,
+            "facility_id missing": F.col("facility_id").isNotNull(),
+            "facility_type missing": F.col("facility_type").isNotNull(),
+            "capacity not a number": _is_number_or_missing("capacity"),
         },
         extra,
     )
@@ -144,24 +151,25 @@ def clean_boundaries(df: DataFrame, region_col: str = "region_id") -> Validated:
     """region_id; name optional. Other columns, the geometry among them, are kept."""
     df = _prepare(df, region_col)
     S.require(df, "region_id", what="boundaries")
-    region = F.col("region_id").cast("string")
-    contract = {"region_id": region, "name": _optional_text(df, "name")}
-    extra = tuple(c for c in df.columns if c not in contract)
-    return _typed(df, contract, {"region_id missing": region.isNotNull()}, extra)
+    contract = {"region_id": F.col("region_id").cast("string"), "name": _optional_text(df, "name")}
+    extra = [c for c in df.columns if c not in contract]
+    return _typed(df, contract, {"region_id missing": F.col("region_id").isNotNull()}, extra)
 
 
 def clean_demand_long(df: DataFrame) -> Validated:
     """Non-empty region_id and activity, demand >= 0; a demand that is not a number counts as zero."""
     df = N.standardize_columns(df)
     S.require(df, "region_id", "activity", "demand", what="long demand")
-    region, activity = C.upper_id(F.col("region_id")), C.strip(F.col("activity").cast("string"))
-    demand = C.filled(C.number(df, "demand").cast("double"))
     return _typed(
         df,
-        {"region_id": region, "activity": activity, "demand": demand},
         {
-            "region_id empty": region != "",
-            "activity empty": activity != "",
-            "demand negative": demand >= 0,
+            "region_id": C.upper_id(F.col("region_id")),
+            "activity": C.strip(F.col("activity").cast("string")),
+            "demand": C.filled(C.number(df, "demand").cast("double")),
+        },
+        {
+            "region_id empty": F.col("region_id") != "",
+            "activity empty": F.col("activity") != "",
+            "demand negative": F.col("demand") >= 0,
         },
     )

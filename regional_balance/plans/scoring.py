@@ -71,7 +71,8 @@ def score_regions(
         scalar = D.scalar_demand(per_activity, activity, normalize, by, known)
         values = D.spread_demand(regions, scalar, by)
         if supply is not None:
-            metrics = M.activity_metrics(per_activity, U.activity_supply(supply, activities, by), by, params)
+            per_region = U.activity_supply(supply, activities, by)
+            metrics = M.activity_metrics(per_activity, per_region, by, params, list(known))
     values = values.filter(F.col("region_id").isNotNull())
 
     table = R.need_table(values, regions, by, params, keys_unique=unique, dedupe_supply=dedupe_supply)

@@ -100,14 +100,34 @@ def test_polygons_meeting(spark):
 
 
 def test_join_plan_is_an_equi_join(spark, plan):
-    spark_conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    src, tgt = layer(spark, [(1, point(0, 0))], "pid int"), layer(spark, [("a", geom([square(0, 0)]))])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(X.spatial_join(layer(spark, [(1, point(0, 0))], "pid int"), layer(spark, [("a", geom([square(0, 0)]))])))
+        small = plan(X.spatial_join(src, tgt))
+        large = plan(X.spatial_join(src, tgt, broadcast_bytes=0))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", spark_conf)
-    assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
-    assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    assert "SortMergeJoin" in large
+    for text in (small, large):
+        assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
+
+
+def test_size_bound_of_cells(spark):
+    tgt = layer(spark, [("a", geom([square(0, 0, 10)])), ("b", geom([square(0, 0)]))])
+    cells = X._target_cells(tgt, 2.0, [F.col("region_id")], "geometry")
+    stored = cells.agg(F.sum(F.size("_e") * 48 + 200)).first()[0]
+    assert stored <= X.cells_bytes(tgt, 2.0) < 100 * stored
+
+
+def test_cells_inside_a_region_need_no_edges(spark):
+    tgt = layer(spark, [("a", geom([square(0.5, 0.5, 10)]))])
+    cells = {(r._cx, r._cy): r._inside for r in X._target_cells(tgt, 1.0, [F.col("region_id")], "geometry").collect()}
+    assert len(cells) == 121 and sum(v is True for v in cells.values()) == 81
+    hollow = layer(spark, [("h", geom([square(0.5, 0.5, 10), square(2.5, 2.5, 6)]))])
+    cells = {(r._cx, r._cy) for r in X._target_cells(hollow, 1.0, [F.col("region_id")], "geometry").collect()}
+    assert (5, 5) not in cells and (1, 1) in cells
 
 
 def test_grid_bound_for_uneven_layers(spark):

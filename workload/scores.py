@@ -230,7 +230,7 @@ ROUND(demand_value - supply_value, 2) AS gap, ROUND(CASE WHEN demand_value > 0 T
 ROUND(demand_value / NULLIF(supply_value, 0) * 100, 4) AS need_score FROM l JOIN a USING (activity)""",
 )
 def activity_metrics_long(spark, sf):
-    out = M.activity_metrics(*_activity_inputs(Tables(spark, sf)))
+    out = M.activity_metrics(*_activity_inputs(Tables(spark, sf)), activities=SEGMENTS)
     return rounded(out, demand_value=2, supply_value=2, gap=2, supply_demand_ratio=9, need_score=4)
 
 
@@ -251,7 +251,7 @@ def activity_metrics_by_market(spark, sf):
     wide = wide.agg(*[F.sum(F.when(F.col("segment") == s, F.col("total"))).alias(s) for s in SEGMENTS])
     supply = nation_facilities(t).join(markets, "n_regionkey").select("market", "region_id", "capacity")
     out = M.activity_metrics(
-        D.activity_demand(wide, SEGMENTS, by=["market"]), U.activity_supply(supply, SEGMENTS, ["market"]), ["market"]
+        D.activity_demand(wide, SEGMENTS, by=["market"]), U.activity_supply(supply, SEGMENTS, ["market"]), ["market"], activities=SEGMENTS
     )
     return rounded(out.select("market", "region_id", "activity", "gap", "need_score"), gap=2, need_score=4)
 
@@ -267,7 +267,7 @@ x AS (SELECT activity, region_id AS "Region", demand_value AS activity_demand,
 ROUND("ActivityNeedScore", 4) AS "ActivityNeedScore" FROM x""",
 )
 def activity_scores(spark, sf):
-    return rounded(M.activity_scores(*_activity_inputs(Tables(spark, sf))), activity_demand=2, ActivityNeedScore=4)
+    return rounded(M.activity_scores(*_activity_inputs(Tables(spark, sf)), activities=SEGMENTS), activity_demand=2, ActivityNeedScore=4)
 
 
 @query(
@@ -286,7 +286,7 @@ def activity_scores_one(spark, sf):
 SELECT activity, "Region", ROUND("ActivityNeedScore", 4) AS "ActivityNeedScore", place FROM r WHERE place <= 5""",
 )
 def activity_topk(spark, sf):
-    scores = M.activity_scores(*_activity_inputs(Tables(spark, sf))).drop("activity_demand")
+    scores = M.activity_scores(*_activity_inputs(Tables(spark, sf)), activities=SEGMENTS).drop("activity_demand")
     top = R.top_regions(scores, 5, True, "ActivityNeedScore", "Region", ["activity"])
     return rounded(top.withColumn("place", F.col("place").cast("long")), ActivityNeedScore=4)
 
@@ -306,7 +306,7 @@ def lowest_scores(spark, sf):
 COALESCE(printf('%.3f', "ActivityNeedScore"), '-') AS score_text, COALESCE(printf('%.6f', "ActivityNeedScore"), '—') AS tooltip_text FROM x""",
 )
 def activity_display(spark, sf):
-    shown = M.display_rows(M.activity_scores(*_activity_inputs(Tables(spark, sf))))
+    shown = M.display_rows(M.activity_scores(*_activity_inputs(Tables(spark, sf)), activities=SEGMENTS))
     return shown.select("activity", "region_text", "score_text", "tooltip_text")
 
 
