@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLIT_LEVELS = 10  # 2**10 - 1 split points, 1,024 ranges
+
+def split_levels(df: DataFrame) -> int:
+    """Four ranges or more per shuffle partition, as a power of two between 256 and 4,096."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(12, max(8, (4 * partitions - 1).bit_length()))
 
 
 def _bisect(splits: Column, value: Column, levels: int) -> Column:
@@ -25,7 +29,7 @@ def rank_values(
     score: str,
     by: Sequence[str] = (),
     rank: str = "priority_rank",
-    levels: int = SPLIT_LEVELS,
+    levels: int | None = None,
 ) -> DataFrame:
     """(by..., score, rank) for each distinct non-missing score, highest first.
 
@@ -37,6 +41,7 @@ def rank_values(
        in the ranges above.
     """
     by = list(by)
+    levels = levels or split_levels(df)
     counts = df.filter(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
     # Ordering by the count too keeps it in the sample's aggregate, which then is the same exchange as `counts`.
     hashed = counts.withColumn("_h", F.xxhash64(*by, score)).orderBy("_h", score, *by, "_n")
@@ -76,7 +81,7 @@ def add_rank(
     score: str = "need_score",
     by: Sequence[str] = (),
     rank: str = "priority_rank",
-    levels: int = SPLIT_LEVELS,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add the rank of ``score`` (descending, ties share the smallest rank, missing scores unranked)."""
     by = list(by)

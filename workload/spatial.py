@@ -133,14 +133,17 @@ def reproject_points(spark, sf):
 
 @query(
     "region_area",
-    f"""WITH {SQL_GRID}, a AS (SELECT r_name, (RADIANS(gx + 1) - RADIANS(gx)) * 6378137.0 *
-(LN(TAN(0.7853981633974483 + RADIANS(gy + 1) / 2)) - LN(TAN(0.7853981633974483 + RADIANS(gy) / 2))) * 6378137.0 AS area
-FROM g JOIN region ON n_regionkey = r_regionkey) SELECT r_name, ROUND(SUM(area) / 1000000, 3) AS square_km FROM a GROUP BY 1""",
+    """WITH c AS (SELECT c_mktsegment, c_acctbal / 100 AS lon, CAST(c_nationkey AS DOUBLE) AS lat FROM customer),
+a AS (SELECT c_mktsegment, (RADIANS(lon + 0.5) * 6378137.0 - RADIANS(lon) * 6378137.0) *
+(LN(TAN(0.7853981633974483 + RADIANS(lat + 0.5) / 2)) * 6378137.0 - LN(TAN(0.7853981633974483 + RADIANS(lat) / 2)) * 6378137.0) AS area FROM c)
+SELECT c_mktsegment, ROUND(SUM(area) / 1000000, 2) AS square_km FROM a GROUP BY 1""",
 )
 def region_area(spark, sf):
-    t = Tables(spark, sf)
-    cells = X.to_crs(grid(t, SRID_LONLAT)).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return X.total_area(cells, by=["r_name"]).select("r_name", F.round(F.col("area") / 1000000, 3).alias("square_km"))
+    """Half-degree parcels of customers, measured in the working CRS."""
+    lon, lat = F.col("c_acctbal") / 100, F.col("c_nationkey").cast("double")
+    boxes = Tables(spark, sf).customer.select("c_mktsegment", G.box(lon, lat, lon + 0.5, lat + 0.5).alias("geometry"))
+    total = X.total_area(X.to_crs(boxes), by=["c_mktsegment"])
+    return total.select("c_mktsegment", F.round(F.col("area") / 1000000, 2).alias("square_km"))
 
 
 def strip_parcels(t: Tables) -> DataFrame:
@@ -216,14 +219,15 @@ def geometry_repair(spark, sf):
 
 @query(
     "boundary_regions",
-    """SELECT CASE n_nationkey WHEN 7 THEN 'ST. LAWRENCE' ELSE n_name END AS region_id, ROUND(RADIANS(n_nationkey % 5) * 6378137.0, 3) AS x1
-FROM nation WHERE n_nationkey <> 8""",
+    """SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'ST. LAWRENCE' ELSE UPPER(c_name) END AS region_id,
+ROUND(RADIANS(c_acctbal / 100) * 6378137.0, 3) AS x1 FROM customer WHERE c_mktsegment NOT IN ('MACHINERY', 'FURNITURE')""",
 )
 def boundary_regions(spark, sf):
-    """Boundary names normalised, an alias applied, an excluded area dropped, geometry reprojected."""
-    t = Tables(spark, sf)
-    name = F.when(F.col("region_id") == "NATION_7", F.lit("Saint Lawrence ")).when(F.col("region_id") == "NATION_8", F.lit("Lake Ontario"))
-    raw = grid(t, SRID_LONLAT).select(F.coalesce(name, F.lower("region_id")).alias("NAME_2"), "geometry")
+    """Boundary names normalised, an alias applied, excluded areas dropped, geometry reprojected."""
+    seg = F.col("c_mktsegment")
+    name = F.when(seg == "BUILDING", "Saint Lawrence ").when(seg == "MACHINERY", " Lake Ontario").when(seg == "FURNITURE", "nan").otherwise(F.col("c_name"))
+    lon, lat = F.col("c_acctbal") / 100, F.col("c_nationkey").cast("double")
+    raw = Tables(spark, sf).customer.select(name.alias("NAME_2"), G.box(lon, lat, lon + 1, lat + 1).alias("geometry"))
     out = boundary_rows(V.clean_boundaries(raw, "name_2").valid.withColumnRenamed("region_id", "label"), "label")
     return out.select("region_id", F.round(G.bbox(F.col("geometry"))["x1"], 3).alias("x1"))
 
