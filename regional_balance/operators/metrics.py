@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regional_balance import schema as S
@@ -74,16 +74,14 @@ def activity_scores(
     )
 
 
-def with_row_stats(df: DataFrame, score: str = "ActivityNeedScore") -> tuple[DataFrame, Observation]:
-    """Count rows and scored rows while the frame is computed for something else (no second job)."""
-    stats = Observation("row_stats")
-    observed = df.observe(
-        stats,
-        F.count(F.lit(1)).alias("supply_rows"),
-        F.count(F.lit(1)).alias("matched_rows"),
-        F.count(score).alias("scored_rows"),
-    )
-    return observed, stats
+def row_stats(scores: DataFrame, score: str = "ActivityNeedScore", by: Sequence[str] = ()) -> DataFrame:
+    """Supply rows, rows matched to demand (all of them) and rows with a score.
+
+    A query of its own rather than counters on the side: those count a stage again when Spark runs it again, as
+    it does to sample a global sort or after losing an executor.
+    """
+    rows = F.count(F.lit(1))
+    return scores.groupBy(*by).agg(rows.alias("supply_rows"), rows.alias("matched_rows"), F.count(score).alias("scored_rows"))
 
 
 def display_rows(scores: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from regional_balance.operators import metrics as M
 from regional_balance.operators import score as R
 from regional_balance.operators import supply as U
 from regional_balance.operators.rank import add_rank
+from regional_balance.plans.ranking import activity_ranking
 from regional_balance.schema import ScoreParams
 from workload.registry import (
     SEGMENTS,
@@ -291,6 +292,27 @@ def activity_topk(spark, sf):
     return rounded(top.withColumn("place", F.col("place").cast("long")), ActivityNeedScore=4)
 
 
+@query(
+    "ranking_stats",
+    f"""{SQL_ACTIVITY_SCORES} SELECT activity, COUNT(*) AS supply_rows, COUNT(*) AS matched_rows, COUNT("ActivityNeedScore") AS scored_rows FROM x GROUP BY 1""",
+)
+def ranking_stats(spark, sf):
+    scores = M.activity_scores(*_activity_inputs(Tables(spark, sf)), activities=SEGMENTS)
+    return M.row_stats(scores, by=["activity"])
+
+
+@query(
+    "activity_ranking",
+    f"""{SQL_ACTIVITY_SCORES} SELECT "Region", ROUND("ActivityNeedScore", 4) AS "ActivityNeedScore" FROM x WHERE activity = 'MACHINERY'
+ORDER BY x."ActivityNeedScore" DESC NULLS LAST, "Region" LIMIT 10""",
+)
+def ranking(spark, sf):
+    """The ranking list of one activity, from a wide demand table and a tabular supply."""
+    t = Tables(spark, sf)
+    rows = activity_ranking(wide_demand(t), supply_columns(t), "MACHINERY", limit=10).rows
+    return rounded(rows.select("Region", "ActivityNeedScore"), ActivityNeedScore=4)
+
+
 @query(
     "lowest_scores",
     f"""{SQL_CUSTOMER} SELECT {NEED_COLUMNS} FROM n ORDER BY n.need_score ASC NULLS LAST, region_id LIMIT 25""",
