@@ -70,7 +70,7 @@ def test_activity_ranking(spark):
     ranking = activity_ranking(demand, supply, "Park", layer)
     assert [(r.Region, r.score_text) for r in ranking.rows.collect()] == [("A", "200.000"), ("C", "50.000"), ("B", "-")]
     assert ranking.stats.first().asDict() == {"supply_rows": 3, "matched_rows": 3, "scored_rows": 2}
-    assert sorted((r.region_id, r.activity_need_score, r.score_bin) for r in ranking.layer.collect()) == [("A", 200.0, 5), ("Z", None, None)]
+    assert sorted((r.region_id, r.activity_need_score, r.score_bin) for r in ranking.layer.collect()) == [("A", 200.0, 1), ("Z", None, None)]  # one score alone: a flat range, lowest class
     up = activity_ranking(demand, supply, "Park", descending=False, limit=1)
     assert [r.Region for r in up.rows.collect()] == ["C"]
     assert activity_scores_table(demand, supply, "Camping").count() == 0
