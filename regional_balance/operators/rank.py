@@ -8,20 +8,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def split_levels(df: DataFrame) -> int:
-    """Four ranges or more per shuffle partition, as a power of two between 256 and 4,096."""
+WAYS = 16  # branches of one search step
+
+
+def search_steps(df: DataFrame) -> int:
+    """Search steps, each cutting sixteen-fold, for at least four ranges per shuffle partition: 256 or 4,096 ranges."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(12, max(8, (4 * partitions - 1).bit_length()))
+    return 2 if 4 * partitions <= WAYS**2 else 3
 
 
-def _bisect(splits: Column, value: Column, levels: int) -> Column:
-    """Number of split points below ``value``, by binary search in a sorted array."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(levels))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(splits, at + step - 1) < value, at + step).otherwise(at),
-    )
+def _add_range(counts: DataFrame, splits: Column, score: str, steps: int) -> DataFrame:
+    """Add ``_range``, the number of split points below the score, by a search in the sorted array.
+
+    One projection per step; plain projections stay inside generated code, which a lambda over the array would not.
+    """
+    ranged = counts.withColumns({"_splits": splits, "_range": F.lit(0)})
+    for step in (WAYS**i for i in reversed(range(steps))):
+        tests = " ".join(
+            f"WHEN get(_splits, _range + {k * step - 1}) < `{score}` THEN {k * step}" for k in reversed(range(1, WAYS))
+        )
+        ranged = ranged.withColumn("_range", F.expr(f"_range + CASE {tests} ELSE 0 END"))
+    return ranged.drop("_splits")
 
 
 def rank_values(
@@ -29,7 +36,7 @@ def rank_values(
     score: str,
     by: Sequence[str] = (),
     rank: str = "priority_rank",
-    levels: int | None = None,
+    steps: int | None = None,
 ) -> DataFrame:
     """(by..., score, rank) for each distinct non-missing score, highest first.
 
@@ -37,17 +44,16 @@ def rank_values(
     2. The distinct scores are cut into ranges at split points. The points are the distinct scores with the
        smallest hashes: an even sample that depends on the data only, so a recomputed task, or a branch of the
        plan that Spark does not reuse, gets the same ranges.
-    3. Within a range a window counts the rows above. Range totals, at most 2**levels per group, give what lies
+    3. Within a range a window counts the rows above. Range totals, at most 4,096 per group, give what lies
        in the ranges above.
     """
     by = list(by)
-    levels = levels or split_levels(df)
+    steps = steps or search_steps(df)
     counts = df.filter(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
     # Ordering by the count too keeps it in the sample's aggregate, which then is the same exchange as `counts`.
     hashed = counts.withColumn("_h", F.xxhash64(*by, score)).orderBy("_h", score, *by, "_n")
-    splits = hashed.limit((1 << levels) - 1).agg(F.sort_array(F.collect_set(score)).alias("splits"))
-    ranged = counts.withColumn("_splits", splits.scalar())
-    ranged = ranged.withColumn("_range", _bisect(F.col("_splits"), F.col(score), levels)).drop("_splits")
+    splits = hashed.limit(WAYS**steps - 1).agg(F.sort_array(F.collect_set(score)).alias("splits"))
+    ranged = _add_range(counts, splits.scalar(), score, steps)
 
     totals = ranged.groupBy(*by, "_range").agg(F.sum("_n").alias("_n"))
     per_group = totals.groupBy(*by).agg(F.collect_list(F.struct("_range", "_n")).alias("_ranges"))
@@ -81,11 +87,11 @@ def add_rank(
     score: str = "need_score",
     by: Sequence[str] = (),
     rank: str = "priority_rank",
-    levels: int | None = None,
+    steps: int | None = None,
 ) -> DataFrame:
     """Add the rank of ``score`` (descending, ties share the smallest rank, missing scores unranked)."""
     by = list(by)
-    ranks = rank_values(df, score, by, rank, levels)
+    ranks = rank_values(df, score, by, rank, steps)
     ranks = ranks.select(F.col(score).alias("_ranked_score"), F.col(rank), *[F.col(c).alias(f"_by_{c}") for c in by])
     same = F.col(score) == F.col("_ranked_score")
     for c in by:

@@ -204,10 +204,12 @@ def assign_regions(
         return joined
     if assign != "first":
         raise ValueError(f"assign must be 'all' or 'first', not {assign!r}")
-    S.require(facilities, "facility_id", what="facilities")
-    firsts = joined.groupBy("facility_id").agg(F.min(region).alias("_first"))
-    firsts = firsts.withColumnRenamed("facility_id", "_fid")
-    return joined.join(firsts, (F.col("facility_id") == F.col("_fid")) & (F.col(region) == F.col("_first")), "left_semi")
+    S.require(facilities, "facility_id", "geometry", what="facilities")
+    # Per facility and place, so that an id that occurs at several places keeps all of them.
+    place = [F.col("facility_id"), G.point_x(F.col("geometry")).alias("_x"), G.point_y(F.col("geometry")).alias("_y")]
+    keyed = joined.select("*", *place[1:])
+    firsts = joined.groupBy(*place).agg(F.min(region).alias(region))
+    return keyed.join(firsts, ["facility_id", "_x", "_y", region], "left_semi").select(*joined.columns)
 
 
 def total_area(df: DataFrame, geometry: str = "geometry", by: Sequence[str] = ()) -> DataFrame:
