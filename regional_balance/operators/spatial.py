@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from regional_balance.functions import names as N
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 _EDGE_BYTES, _CELL_BYTES = 48, 200
+_SMALLEST, _LN8 = 1e-9, math.log(8.0)
 
 
 def to_crs(df: DataFrame, srid: int = S.SRID_WORKING, geometry: str = "geometry") -> DataFrame:
@@ -36,65 +39,81 @@ def audit_geometry(df: DataFrame, geometry: str = "geometry", by: Sequence[str]
     return df.select(*by, why).groupBy(*by, "problem").agg(F.count("*").alias("n"))
 
 
-def grid_size(targets: DataFrame, geometry: str = "geometry") -> float:
-    """Cell side for a target layer: one small aggregate, one number.
+@dataclass(frozen=True)
+class Grid:
+    """Square cells of side ``8 ** level``; a geometry belongs to the level whose cells are at least as large as it.
 
-    With a side of at least the mean box side and the root of the mean box area, the boxes of n targets cover
-    at most 4n cells together, however uneven their sizes are.
+    It then covers at most 2 x 2 cells however uneven the sizes in a layer are, and small geometries never share
+    a cell just because large ones exist. A fixed ``side`` makes one level.
     """
-    b = G.bbox(F.col(geometry))
-    w, h = b["x2"] - b["x1"], b["y2"] - b["y1"]
-    sizes = targets.filter(F.col(geometry).isNotNull()).select(w.alias("w"), h.alias("h"))
-    row = sizes.agg(F.avg((F.col("w") + F.col("h")) / 2).alias("side"), F.avg(F.col("w") * F.col("h")).alias("area")).first()
-    side = max(row["side"] or 0.0, (row["area"] or 0.0) ** 0.5)
-    return side if side > 0 else 1.0
 
+    side: float | None = None
 
-def _cell(c: Column, size: float) -> Column:
-    return F.floor(c / F.lit(size))
+    def level(self, box: Column) -> Column:
+        if self.side is not None:
+            return F.lit(0)
+        extent = F.greatest(box["x2"] - box["x1"], box["y2"] - box["y1"], F.lit(_SMALLEST))
+        return F.ceil(F.ln(extent) / F.lit(_LN8)).cast("int")
 
+    def cell(self, c: Column, level: Column) -> Column:
+        size = F.lit(float(self.side)) if self.side is not None else F.pow(F.lit(8.0), level)
+        return F.floor(c / size)
 
-def _cell_range(lo: Column, hi: Column, size: float) -> Column:
-    return F.sequence(_cell(lo, size), _cell(hi, size))
+    def span(self, lo: Column, hi: Column, level: Column) -> Column:
+        return F.sequence(self.cell(lo, level), self.cell(hi, level))
 
+    def centre(self, cell: Column, level: Column) -> Column:
+        size = F.lit(float(self.side)) if self.side is not None else F.pow(F.lit(8.0), level)
+        return (cell + F.lit(0.5)) * size
 
-def cells_bytes(targets: DataFrame, size: float, geometry: str = "geometry") -> int:
-    """Upper bound of the memory that the cells of a layer take: every edge in every cell of its target."""
-    b = G.bbox(F.col(geometry))
-    across = _cell(b["x2"], size) - _cell(b["x1"], size) + 1
-    down = _cell(b["y2"], size) - _cell(b["y1"], size) + 1
-    edges = F.size(G.vertices(F.col(geometry)))
-    each = (across * down * (edges * _EDGE_BYTES + _CELL_BYTES)).cast("decimal(38,0)")
-    row = targets.filter(F.col(geometry).isNotNull()).select(each.alias("n")).agg(F.sum("n").alias("n")).first()
-    return int(row["n"] or 0)
+
+def _boxed(df: DataFrame, ident: str, geometry: str, grid: Grid, prefix: str) -> DataFrame:
+    """(prefix_id, prefix_b box, prefix_e edges, prefix_own level) of geometries that are not missing."""
+    g, box = F.col(geometry), F.col(f"{prefix}b")
+    boxed = df.filter(g.isNotNull()).select(F.col(ident).alias(f"{prefix}id"), G.bbox(g).alias(f"{prefix}b"), G.edges(g).alias(f"{prefix}e"))
+    return boxed.withColumn(f"{prefix}own", grid.level(box))
 
 
-def _target_cells(targets: DataFrame, size: float, ident: list[Column], geometry: str) -> DataFrame:
+def layer_profile(targets: DataFrame, grid: Grid, geometry: str = "geometry") -> tuple[list[int], int]:
+    """Levels of a layer and an upper bound, in bytes, of its cells: every edge in every cell of its target.
+
+    One aggregate over the layer and one row back; there are few levels (eight-fold steps of size).
+    """
+    g = F.col(geometry)
+    sized = targets.filter(g.isNotNull()).select(G.bbox(g).alias("b"), F.size(G.vertices(g)).alias("n"))
+    sized = sized.withColumn("level", grid.level(F.col("b")))
+    level = F.col("level")
+    across = grid.cell(F.col("b.x2"), level) - grid.cell(F.col("b.x1"), level) + 1
+    down = grid.cell(F.col("b.y2"), level) - grid.cell(F.col("b.y1"), level) + 1
+    each = (across * down * (F.col("n") * _EDGE_BYTES + _CELL_BYTES)).cast("decimal(38,0)")
+    row = sized.agg(F.collect_set("level").alias("levels"), F.sum(each).alias("bytes")).first()
+    return sorted(row["levels"]), int(row["bytes"] or 0)
+
+
+def region_cells(targets: DataFrame, grid: Grid, target_id: str, geometry: str = "geometry") -> DataFrame:
     """One row per target and covered cell, carrying only the edges a ray from within the cell can meet.
 
     A cell that no edge passes lies wholly inside or outside: ``_inside`` answers for all its points, and cells
     outside are dropped.
     """
-    b = G.bbox(F.col(geometry))
-    boxed = targets.filter(F.col(geometry).isNotNull()).select(*ident, b.alias("_b"), G.edges(F.col(geometry)).alias("_e"))
-    cells = boxed.withColumn("_cx", F.explode(_cell_range(F.col("_b.x1"), F.col("_b.x2"), size)))
-    cells = cells.withColumn("_cy", F.explode(_cell_range(F.col("_b.y1"), F.col("_b.y2"), size)))
-    cx, cy = F.col("_cx"), F.col("_cy")
+    level, cx, cy = F.col("_town"), F.col("_cx"), F.col("_cy")
+    cells = _boxed(targets, target_id, geometry, grid, "_t")
+    cells = cells.withColumn("_cx", F.explode(grid.span(F.col("_tb.x1"), F.col("_tb.x2"), level)))
+    cells = cells.withColumn("_cy", F.explode(grid.span(F.col("_tb.y1"), F.col("_tb.y2"), level)))
 
     def reachable(e: Column) -> Column:
         return (
-            (_cell(F.least(e["y1"], e["y2"]), size) <= cy)
-            & (_cell(F.greatest(e["y1"], e["y2"]), size) >= cy)
-            & (_cell(F.greatest(e["x1"], e["x2"]), size) >= cx)
+            (grid.cell(F.least(e["y1"], e["y2"]), level) <= cy)
+            & (grid.cell(F.greatest(e["y1"], e["y2"]), level) >= cy)
+            & (grid.cell(F.greatest(e["x1"], e["x2"]), level) >= cx)
         )
 
     def passes(e: Column) -> Column:
-        return _cell(F.least(e["x1"], e["x2"]), size) <= cx
+        return grid.cell(F.least(e["x1"], e["x2"]), level) <= cx
 
-    half = F.lit(size / 2)
-    cells = cells.withColumn("_e", F.filter("_e", reachable))
-    centre = G.covers_point(F.col("_e"), cx * F.lit(size) + half, cy * F.lit(size) + half)
-    cells = cells.withColumn("_inside", F.when(~F.exists("_e", passes), centre))
+    cells = cells.withColumn("_te", F.filter("_te", reachable))
+    centre = G.covers_point(F.col("_te"), grid.centre(cx, level), grid.centre(cy, level))
+    cells = cells.withColumn("_inside", F.when(~F.exists("_te", passes), centre))
     return cells.filter(F.col("_inside").isNull() | F.col("_inside"))
 
 
@@ -111,12 +130,10 @@ def spatial_join(
 ) -> DataFrame:
     """Join source geometries to the target regions they intersect; boundary contact counts.
 
-    Points carry one cell each and a target covers a cell once, so the equi-join on cells needs neither row ids
-    nor de-duplication. The cells are broadcast if a bound on their size, computed from the layer, is at most
-    ``broadcast_bytes``; the points then do not move at all. Otherwise both sides are shuffled by cell and
-    adaptive execution splits a crowded one. Polygon sources
-    (``source_id`` given) meet a target in several cells; a pair is kept only in the cell that holds the lower
-    left corner of the intersection of their boxes.
+    Sources are points, or any geometries when ``source_id`` names a column that identifies them. An equi-join on
+    grid cells finds the candidates and an exact test decides. The cells of the regions are broadcast if a bound
+    on their size, computed from the layer, is at most ``broadcast_bytes``; points then do not move at all.
+    Otherwise both sides are shuffled by cell and adaptive execution splits a crowded one.
 
     ``left`` keeps unmatched sources with a missing target id, ``right`` keeps unmatched targets.
     """
@@ -126,59 +143,77 @@ def spatial_join(
     S.require(target, target_id, geometry, what="target")
     source = to_crs(N.drop_present(source, target_id) if target_id != source_id else source, srid, geometry)
     regions = to_crs(target.select(target_id, geometry), srid, geometry)
-    size = float(cell_size) if cell_size is not None else grid_size(regions, geometry)
+    grid = Grid(cell_size)
+    levels, size = layer_profile(regions, grid, geometry)
     if source_id is None:
-        small = cells_bytes(regions, size, geometry) <= broadcast_bytes
-        return _join_points(source, regions, target_id, how, size, geometry, small)
-    return _join_polygons(source, regions, target_id, how, size, geometry, source_id)
+        joined = _join_points(source, regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
+    else:
+        joined = _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id)
+    return _with_unmatched_targets(joined, regions, target_id) if how == "right" else joined
 
 
-def _join_points(source, regions, target_id, how, size, geometry, small):
+def _join_points(source, regions, target_id, how, grid, geometry, levels, small):
+    """A point has one cell per level and a target covers a cell of its level once, so no pair comes twice."""
     columns = source.columns
-    cells = _target_cells(regions, size, [F.col(target_id)], geometry)
+    cells = region_cells(regions, grid, target_id, geometry).withColumnRenamed("_tid", target_id)
     if small:
         cells = F.broadcast(cells)
-    x, y = G.point_x(F.col(geometry)), G.point_y(F.col(geometry))
-    points = source.withColumns({"_x": x, "_y": y})
-    points = points.withColumns({"_px": _cell(F.col("_x"), size), "_py": _cell(F.col("_y"), size)})
+    points = source.withColumns({"_x": G.point_x(F.col(geometry)), "_y": G.point_y(F.col(geometry))})
+    one_level = len(levels) <= 1
+    level = F.lit(levels[0] if levels else 0) if one_level else F.explode(F.array(*[F.lit(v) for v in levels]))
+    probes = points.withColumn("_level", level)
+    probes = probes.withColumns({c: grid.cell(F.col(v), F.col("_level")) for c, v in (("_px", "_x"), ("_py", "_y"))})
     hit = (
-        (F.col("_px") == F.col("_cx"))
+        (F.col("_level") == F.col("_town"))
+        & (F.col("_px") == F.col("_cx"))
         & (F.col("_py") == F.col("_cy"))
-        & F.col("_x").between(F.col("_b.x1"), F.col("_b.x2"))
-        & F.col("_y").between(F.col("_b.y1"), F.col("_b.y2"))
-        & F.coalesce(F.col("_inside"), G.covers_point(F.col("_e"), F.col("_x"), F.col("_y")))
+        & F.col("_x").between(F.col("_tb.x1"), F.col("_tb.x2"))
+        & F.col("_y").between(F.col("_tb.y1"), F.col("_tb.y2"))
+        & F.coalesce(F.col("_inside"), G.covers_point(F.col("_te"), F.col("_x"), F.col("_y")))
     )
-    if how == "left":
-        return points.join(cells, hit, "left").select(*columns, target_id)
-    matched = points.join(cells, hit, "inner").select(*columns, target_id)
-    if how == "inner":
-        return matched
-    return _with_unmatched_targets(matched, regions, target_id)
-
-
-def _join_polygons(source, regions, target_id, how, size, geometry, source_id):
-    def cells_of(df, ident, alias):
-        b = G.bbox(F.col(geometry))
-        boxed = df.filter(F.col(geometry).isNotNull()).select(
-            F.col(ident).alias(f"_{alias}"), b.alias(f"_b{alias}"), G.edges(F.col(geometry)).alias(f"_e{alias}")
-        )
-        bb = F.col(f"_b{alias}")
-        across = boxed.withColumn("_cx", F.explode(_cell_range(bb["x1"], bb["x2"], size)))
-        return across.withColumn("_cy", F.explode(_cell_range(bb["y1"], bb["y2"], size)))
-
-    a, b = F.col("_bs"), F.col("_bt")
+    if how == "left" and one_level:
+        return probes.join(cells, hit, "left").select(*columns, target_id)
+    matched = probes.join(cells, hit, "inner")
+    if how != "left":
+        return matched.select(*columns, target_id)
+    # Whether a point is matched depends on its place only, so places tell the unmatched rows without row ids.
+    alone = points.join(matched.select("_x", "_y").distinct(), ["_x", "_y"], "left_anti")
+    return matched.select(*columns, target_id).unionByName(alone.select(*columns), allowMissingColumns=True)
+
+
+def _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id):
+    """Two geometries meet in the cells of the larger one's level: each is laid out on its own level and, for
+    partners that are larger, on theirs. A pair is kept only in the cell that holds the lower left corner of the
+    intersection of the two boxes."""
+    s = _boxed(source, source_id, geometry, grid, "_s")
+    t = _boxed(regions, target_id, geometry, grid, "_t")
+    target_levels = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
+    source_levels = s.agg(F.collect_set("_sown").alias("levels")).scalar()
+
+    def laid_out(df: DataFrame, prefix: str, on: Column) -> DataFrame:
+        box = F.col(f"{prefix}b")
+        out = df.withColumn("_level", on)
+        out = out.withColumn("_cx", F.explode(grid.span(box["x1"], box["x2"], F.col("_level"))))
+        return out.withColumn("_cy", F.explode(grid.span(box["y1"], box["y2"], F.col("_level"))))
+
+    t = t.withColumn("_source_levels", source_levels)
+    finer_targets = F.explode(F.filter("_source_levels", lambda v: v >= F.col("_town")))
+    finer_sources = F.explode(F.filter(target_levels, lambda v: v > F.col("_sown")))
+    keys = ["_level", "_cx", "_cy"]
+    by_source = laid_out(s, "_s", F.col("_sown")).join(laid_out(t, "_t", finer_targets).drop("_source_levels"), keys)
+    by_target = laid_out(s, "_s", finer_sources).join(laid_out(t, "_t", F.col("_town")).drop("_source_levels"), keys)
+    a, b = F.col("_sb"), F.col("_tb")
     left_x, left_y = F.greatest(a["x1"], b["x1"]), F.greatest(a["y1"], b["y1"])
-    pairs = cells_of(source, source_id, "s").join(cells_of(regions, target_id, "t"), ["_cx", "_cy"], "inner")
-    pairs = pairs.filter(
+    met = (
         (left_x <= F.least(a["x2"], b["x2"]))
         & (left_y <= F.least(a["y2"], b["y2"]))
-        & (_cell(left_x, size) == F.col("_cx"))
-        & (_cell(left_y, size) == F.col("_cy"))
-        & G.polygons_meet(F.col("_es"), F.col("_et"))
-    ).select(F.col("_s").alias("_source"), F.col("_t").alias("_target"))
-    joined = source.join(pairs, F.col(source_id) == F.col("_source"), "left" if how == "left" else "inner")
-    joined = joined.select(*source.columns, F.col("_target").alias(target_id))
-    return _with_unmatched_targets(joined, regions, target_id) if how == "right" else joined
+        & (grid.cell(left_x, F.col("_level")) == F.col("_cx"))
+        & (grid.cell(left_y, F.col("_level")) == F.col("_cy"))
+        & G.polygons_meet(F.col("_se"), F.col("_te"))
+    )
+    pairs = by_source.filter(met).select("_sid", "_tid").unionByName(by_target.filter(met).select("_sid", "_tid"))
+    joined = source.join(pairs, F.col(source_id) == F.col("_sid"), "left" if how == "left" else "inner")
+    return joined.select(*source.columns, F.col("_tid").alias(target_id))
 
 
 def _with_unmatched_targets(matched: DataFrame, regions: DataFrame, target_id: str) -> DataFrame:

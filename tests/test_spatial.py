@@ -116,26 +116,30 @@ def test_join_plan_is_an_equi_join(spark, plan):
 
 def test_size_bound_of_cells(spark):
     tgt = layer(spark, [("a", geom([square(0, 0, 10)])), ("b", geom([square(0, 0)]))])
-    cells = X._target_cells(tgt, 2.0, [F.col("region_id")], "geometry")
-    stored = cells.agg(F.sum(F.size("_e") * 48 + 200)).first()[0]
-    assert stored <= X.cells_bytes(tgt, 2.0) < 100 * stored
+    for grid in (X.Grid(), X.Grid(2.0)):
+        stored = X.region_cells(tgt, grid, "region_id").agg(F.sum(F.size("_te") * 48 + 200)).first()[0]
+        levels, bound = X.layer_profile(tgt, grid)
+        assert stored <= bound < 100 * stored
+        assert levels == ([0, 2] if grid.side is None else [0])
 
 
 def test_cells_inside_a_region_need_no_edges(spark):
     tgt = layer(spark, [("a", geom([square(0.5, 0.5, 10)]))])
-    cells = {(r._cx, r._cy): r._inside for r in X._target_cells(tgt, 1.0, [F.col("region_id")], "geometry").collect()}
+    cells = {(r._cx, r._cy): r._inside for r in X.region_cells(tgt, X.Grid(1.0), "region_id").collect()}
     assert len(cells) == 121 and sum(v is True for v in cells.values()) == 81
     hollow = layer(spark, [("h", geom([square(0.5, 0.5, 10), square(2.5, 2.5, 6)]))])
-    cells = {(r._cx, r._cy) for r in X._target_cells(hollow, 1.0, [F.col("region_id")], "geometry").collect()}
+    cells = {(r._cx, r._cy) for r in X.region_cells(hollow, X.Grid(1.0), "region_id").collect()}
     assert (5, 5) not in cells and (1, 1) in cells
 
 
 def test_grid_bound_for_uneven_layers(spark):
-    rows = [("giant", geom([square(0, 0, 1000)]))] + [(f"s{i}", geom([square(i, 0, 0.5)])) for i in range(199)]
-    tgt = layer(spark, rows)
-    size = X.grid_size(tgt)
-    cells = X._target_cells(tgt, size, [F.col("region_id")], "geometry").count()
-    assert cells <= 4 * len(rows)
+    """Tiny regions crowded together next to giants: few cells per region, and few regions per cell."""
+    rows = [(f"giant{i}", geom([square(1000 * i, 5, 900)])) for i in range(3)]
+    rows += [(f"s{i}", geom([square(i % 20, i // 20, 0.9)])) for i in range(200)]
+    cells = X.region_cells(layer(spark, rows), X.Grid(), "region_id")
+    assert cells.count() <= 4 * len(rows)
+    crowd = cells.groupBy("_town", "_cx", "_cy").count().agg(F.max("count")).first()[0]
+    assert crowd <= 4
 
 
 def test_join_options_are_checked(spark):
