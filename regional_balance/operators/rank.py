@@ -55,21 +55,14 @@ def rank_values(
     splits = hashed.limit(WAYS**steps - 1).agg(F.sort_array(F.collect_set(score)).alias("splits"))
     ranged = _add_range(counts, splits.scalar(), score, steps)
 
+    # At most WAYS**steps rows per group, whatever the table holds: one task can add these up, also without groups.
     totals = ranged.groupBy(*by, "_range").agg(F.sum("_n").alias("_n"))
-    per_group = totals.groupBy(*by).agg(F.collect_list(F.struct("_range", "_n")).alias("_ranges"))
-    above = F.transform(
-        "_ranges",
-        lambda r: F.struct(
-            r["_range"].alias("_range"),
-            F.aggregate(
-                F.filter("_ranges", lambda other: other["_range"] > r["_range"]),
-                F.lit(0).cast("long"),
-                lambda acc, other: acc + other["_n"],
-            ).alias("_above"),
-        ),
+    ranges_above = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.col("_range").alias("_offset_range"),
+        F.coalesce(F.sum("_n").over(ranges_above), F.lit(0)).alias("_above"),
     )
-    offsets = per_group.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.inline(above))
-    offsets = offsets.withColumnRenamed("_range", "_offset_range")
 
     higher = Window.partitionBy(*by, "_range").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
     within = ranged.withColumn("_within", F.coalesce(F.sum("_n").over(higher), F.lit(0)))

@@ -3,7 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from regional_balance.operators.rank import add_rank
+from regional_balance.operators.rank import _add_range, add_rank
 from workload.registry import Tables
 
 
@@ -44,10 +44,23 @@ def test_rank_plan_has_no_window_over_everything(spark, sf, plan):
     rows = Tables(spark, sf).lineitem.select("l_orderkey", F.col("l_extendedprice").alias("need_score"))
     text = plan(add_rank(rows))
     windows = [line for line in text.splitlines() if "Window [" in line]
-    assert windows and all("_range" in line for line in windows)
+    # One window runs within ranges, the other over the few range totals; none orders the rows themselves.
+    assert len(windows) == 2
+    assert sum("windowspecdefinition(_range" in line and "need_score" in line for line in windows) == 1
+    assert sum("need_score" not in line for line in windows) == 1
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
 
 
+def test_ranges_stay_few(spark, sf):
+    rows = Tables(spark, sf).lineitem.select("l_extendedprice")
+    counts = rows.groupBy("l_extendedprice").agg(F.count("*").alias("_n"))
+    splits = F.lit([float(v) for v in range(0, 100000, 400)][:255])
+    ranged = _add_range(counts, splits, "l_extendedprice", 2)
+    want = F.least(F.ceil(F.col("l_extendedprice") / 400), F.lit(250)).cast("int")
+    assert ranged.filter(F.col("_range") != want).isEmpty()
+    assert ranged.select("_range").distinct().count() <= 256
+
+
 def test_rank_replaces_an_earlier_rank(spark):
     df = spark.createDataFrame([(1.0, 9), (2.0, 9)], "need_score double, priority_rank long")
     assert sorted((r.need_score, r.priority_rank) for r in add_rank(df).collect()) == [(1.0, 2), (2.0, 1)]
