@@ -16,7 +16,6 @@ from workload.registry import (
     Tables,
     customer_orders,
     money,
-    nation_facilities,
     query,
     rounded,
     wide_demand,

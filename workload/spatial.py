@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regional_balance.functions import geometry as G
-from regional_balance.operators import demand as D
 from regional_balance.operators import metrics as M
 from regional_balance.operators import score as R
 from regional_balance.operators import spatial as X
@@ -15,8 +14,8 @@ from regional_balance.operators import validate as V
 from regional_balance.plans.alignment import align_to_geography, score_aligned
 from regional_balance.schema import SRID_LONLAT, SRID_WORKING, ScoreParams
 from regional_balance.sources.features import boundary_rows
-from workload.registry import SQL_NATION_DEMAND, Tables, money, nation_demand, query, rounded, sql_need
-from workload.scores import NATION, NEED_COLUMNS, SQL_NATION, nation_table, tidy
+from workload.registry import Tables, money, query, rounded, sql_need
+from workload.scores import NEED_COLUMNS, SQL_NATION, nation_table, tidy
 
 SQL_GRID = "g AS (SELECT n_name AS region_id, n_nationkey % 5 AS gx, n_nationkey // 5 AS gy, n_regionkey FROM nation)"
 
