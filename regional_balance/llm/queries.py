@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from regional_balance.llm import bpe, quality_rules, simhash, token_counts, token_files
+from regional_balance.llm import bpe, pii, quality_rules, simhash, token_counts, token_files
 from regional_balance.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read(spark, sf_dir))
 
 
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read(spark, sf_dir), threshold=0.5)
+
+
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
