@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from regional_balance.llm import bpe, pii, quality_rules, simhash, token_counts, token_files
+from regional_balance.llm import bpe, fingerprints, mixing, pii, quality_rules, simhash, token_counts, token_files
 from regional_balance.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_fingerprints")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(read(spark, sf_dir))
+
+
+@query("op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(read(spark, sf_dir), seed=7, shards=64, blocks_per_shard=64)
+
+
 @query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir), width=4, distance=4)

@@ -4,7 +4,7 @@ Ids are cut into chunks of eight bits. Level 0 holds the lowest chunk of every i
 that have one, and so on. A bitmap beside each level says which ids go on, and a directory of its running popcounts gives the
 place in the next level, so that ``access`` reads any token from a few bytes without decoding a block.
 
-Documents go to files in ascending doc_id (null last, equal ids by text). Each range of ids is written by its own
+Documents go to files in ascending doc_id (null last, equal ids by text hash). Each range of ids is written by its own
 task as segments of about ``segment_tokens`` ids; a segment (one file image, column ``image``) holds whole documents and
 their directory. Segments are rows of a Parquet table, so commit and recovery are those of Spark's writer.
 
@@ -187,8 +187,8 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 0, segment_token
     """
     key, text = free_name(docs, "doc_key"), free_name(docs, "doc_text")
     rows = docs.select(F.col("doc_id").cast("long").alias(key), text_column().alias(text))
-    order = [F.col(key).asc_nulls_last(), F.col(text)]
-    rows = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    order = [F.col(key).asc_nulls_last(), F.xxhash64(text)]  # sampled keys go to the driver, so they hold no texts
+    rows = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order, text)
     rows = rows.withColumn("part", F.spark_partition_id())
     end = np.array([end_id], "<u4").tobytes()
 

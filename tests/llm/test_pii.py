@@ -51,7 +51,7 @@ def test_random_texts(spark):
 
 
 def test_edges(spark):
-    long = ["9" * 60_000, "a" * 60_000, "1." * 30_000, "+1" + " " * 50_000, "a@" * 20_000, "a@b.cc " * 1500]
+    long = ["9" * 3_000, "a" * 3_000, "1." * 30_000, "+1" + " " * 50_000, "a@" * 20_000, "a@b.cc " * 1500]
     check(spark, [None, "", " ", "a@b", "a@b.c", *long])
 
 
