@@ -24,7 +24,9 @@ from regional_balance.llm.common import WORD, free_name, partitions, same, store
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 #: Documents of one bucket of a source's order, about; a window sorts a bucket.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
+#: Orders tried in the bucket in which a source's last pass ends.
+ORDERS = 8
 
 
 def uniform(*parts: Column) -> Column:
@@ -87,33 +89,40 @@ def ordered(rows: DataFrame, sources: DataFrame) -> DataFrame:
 def drawn(rows: DataFrame) -> DataFrame:
     """Rows with ``times``: how often the mix takes each document.
 
-    Whole passes come first. The last, partial one takes documents in order while they fit in the rest; in the bucket
-    in which it ends, three more rounds take those of the remaining ones that still fit, and one more document is taken if
-    that comes nearer to the rest.
+    Whole passes come first. The last, partial one takes whole buckets while they fit in the rest. In the bucket in which
+    it ends, several orders are tried: documents are taken in order while they fit, then, three rounds more, those of the
+    others that still fit, and one beyond if that comes nearer. The order that ends nearest to the rest counts.
     """
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rows = rows.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-    rows = rows.withColumn("taken", (F.col("words") > 0) & (F.col("start") + F.col("words") <= F.col("rest")))
-    ends = (F.col("bucket_start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("words"))
-    last = rows.where(ends & ~F.col("taken")).groupBy("rank").agg(F.max("bucket").alias("last_bucket"))
-    rows = rows.join(F.broadcast(last), "rank", "left")
-    plain = rows.where(F.col("last_bucket").isNull() | (F.col("bucket") != F.col("last_bucket"))).drop("last_bucket")
-    final = rows.where(F.col("bucket") == F.col("last_bucket")).drop("last_bucket")
-    group = Window.partitionBy("rank", "bucket")
-    order = group.orderBy("key", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for _ in range(3):
+    last = rows.where(F.col("bucket_start") <= F.col("rest")).groupBy("rank").agg(F.max("bucket").alias("last_bucket"))
+    rows = rows.join(F.broadcast(last), "rank")
+    plain = rows.where("bucket <> last_bucket").withColumn("taken", (F.col("words") > 0) & (F.col("bucket") < F.col("last_bucket")))
+
+    tries = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1)))
+    final = rows.where("bucket = last_bucket").withColumn("order", tries).withColumn("taken", F.lit(False))
+    final = final.withColumn("turn", uniform("order", "doc_id", "text_hash"))
+    group = Window.partitionBy("rank", "order")
+    order = group.orderBy("turn", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def with_room(df: DataFrame) -> DataFrame:
         used = F.coalesce(F.sum(F.when(F.col("taken"), F.col("words"))).over(group), F.lit(0))
-        final = final.withColumn("room", F.col("rest") - F.col("bucket_start") - used)
+        return df.withColumn("room", F.col("rest") - F.col("bucket_start") - used)
+
+    for _ in range(4):
+        final = with_room(final)
         fits = ~F.col("taken") & (F.col("words") > 0) & (F.col("words") <= F.col("room"))
         final = final.withColumn("sum", F.sum(F.when(fits, F.col("words")).otherwise(0)).over(order))
-        final = final.withColumn("taken", F.col("taken") | (fits & (F.col("sum") <= F.col("room")))).drop("room", "sum")
-    used = F.coalesce(F.sum(F.when(F.col("taken"), F.col("words"))).over(group), F.lit(0))
-    final = final.withColumn("room", F.col("rest") - F.col("bucket_start") - used)
-    off = F.abs(F.col("words") - F.col("room"))
-    nearest = F.row_number().over(group.orderBy("taken", off, "key", "doc_id", "text_hash")) == 1
-    final = final.withColumn("taken", F.col("taken") | (nearest & (off < F.col("room")))).drop("room")
-    rows = plain.unionByName(final)
-    return rows.withColumn("times", (F.col("passes") + F.col("taken").cast("int")).cast("long")).drop("passes", "rest", "taken")
+        final = final.withColumn("taken", F.col("taken") | (fits & (F.col("sum") <= F.col("room"))))
+    final = with_room(final).withColumn("off", F.abs(F.col("words") - F.col("room")))
+    nearest = F.row_number().over(group.orderBy("taken", "off", "turn", "doc_id", "text_hash")) == 1
+    final = final.withColumn("more", ~F.col("taken") & nearest & (F.col("off") < F.col("room")))
+    miss = F.min(F.when(F.col("more"), F.col("off")).otherwise(F.col("room"))).over(group)
+    final = final.withColumn("taken", F.col("taken") | F.col("more")).withColumn("miss", miss)
+    final = final.withColumn("best", F.min(F.struct("miss", "order")).over(Window.partitionBy("rank"))["order"]).where("order = best")
+    rows = plain.unionByName(final.select(*plain.columns))
+    times = F.col("passes") + F.col("taken").cast("int")
+    return rows.withColumn("times", times.cast("long")).drop("passes", "rest", "taken", "last_bucket")
 
 
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
