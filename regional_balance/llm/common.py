@@ -18,14 +18,15 @@ def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFram
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once into the shared folder and go on from the files.
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write a frame once into the shared folder, in folders of column ``by`` if given, and go on from the files.
 
     Cuts lineage: what follows survives lost executors and does not compute the frame again.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
