@@ -16,6 +16,8 @@ unit with a multiplicity, drawn alike. Documents of size 0 take no words and are
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,33 +127,35 @@ def drawn(rows: DataFrame) -> DataFrame:
     return rows.withColumn("times", times.cast("long")).drop("passes", "rest", "taken", "last_bucket")
 
 
+def log_factorial(n: Column) -> Column:
+    """ln n!, from the table up to 20 and from Stirling's series beyond (exact to 12 digits)."""
+    x = n.cast("double")
+    series = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return F.when(n <= 20, F.log(F.factorial(F.least(n, F.lit(20)).cast("int")).cast("double"))).otherwise(series)
+
+
+def log_choose(n: Column, k: Column) -> Column:
+    return log_factorial(n) - log_factorial(k) - log_factorial(n - k)
+
+
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
-    """Number of good ones among ``draws`` of ``total`` without replacement, by inversion of the distribution at u.
+    """Number of good ones among ``draws`` of ``total`` without replacement: where the distribution function passes u.
 
-    Logarithms of the weights come from the ratio of neighbours, so that no factorial is needed.
+    The probability of the least number comes from logarithms of factorials, the others from the ratio of neighbours.
     """
-    low = F.greatest(F.lit(0).cast("long"), draws - (total - good))
+    bad = total - good
+    low = F.greatest(F.lit(0).cast("long"), draws - bad)
     high = F.least(good, draws)
-    state = F.struct(F.lit(0.0).alias("log"), F.array(F.lit(0.0)).alias("logs"))
-
-    def ratio(acc: Column, x: Column) -> Column:
-        up = F.log((good - x + 1) * (draws - x + 1) / (x * (total - good - draws + x)).cast("double"))
-        return F.struct((acc["log"] + up).alias("log"), F.array_append(acc["logs"], acc["log"] + up).alias("logs"))
-
-    logs = F.when(high > low, F.aggregate(F.sequence(low + 1, F.greatest(high, low + 1)), state, ratio, lambda acc: acc["logs"]))
-    logs = F.coalesce(logs, F.array(F.lit(0.0)))
-    weights = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    goal = u * F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    walk = F.aggregate(
-        weights,
-        F.struct(F.lit(0.0).alias("sum"), F.lit(-1).cast("long").alias("at")),
-        lambda a, x: F.struct(
-            (a["sum"] + x).alias("sum"), (a["at"] + F.when((a["sum"] <= goal) & (x > 0), 1).otherwise(0)).cast("long").alias("at")
-        ),
-        lambda a: a["at"],
-    )
-    first = F.coalesce(F.array_position(F.transform(weights, lambda x: x > 0), F.lit(True)), F.lit(1)) - 1
-    return F.least(high, low + first + F.greatest(walk, F.lit(0).cast("long"))).cast("long")
+    first = log_choose(good, low) + log_choose(bad, draws - low) - log_choose(total, draws)
+    state = F.struct(first.alias("log"), F.exp(first).alias("sum"), low.alias("at"))
+
+    def step(acc: Column, x: Column) -> Column:
+        up = acc["log"] + F.log(((good - x + 1) * (draws - x + 1)).cast("double") / (x * (bad - draws + x)))
+        at = F.when(acc["sum"] <= u, x).otherwise(acc["at"])
+        return F.struct(up.alias("log"), (acc["sum"] + F.exp(up)).alias("sum"), at.alias("at"))
+
+    walk = F.aggregate(F.sequence(low + 1, F.greatest(high, low + 1)), state, step, lambda acc: acc["at"])
+    return F.when(high > low, walk).otherwise(low)
 
 
 def quotas(sources: DataFrame, blocks: int) -> DataFrame:
@@ -173,12 +177,16 @@ def draw_left(seed: int, depth: int):
 
     def step(acc: Column, x: Column) -> Column:
         u = uniform(F.lit(seed), F.lit(depth), F.col("first"), x["rank"])
-        n = hypergeometric(acc["total"], x["n"], acc["draws"], u)
-        return F.struct(
-            (acc["total"] - x["n"]).alias("total"),
-            (acc["draws"] - n).alias("draws"),
-            F.array_append(acc["left"], F.struct(x["rank"].alias("rank"), n.alias("n"))).alias("left"),
-        )
+        drawn_once = F.array(hypergeometric(acc["total"], x["n"], acc["draws"], u))
+
+        def out(n: Column) -> Column:
+            return F.struct(
+                (acc["total"] - x["n"]).alias("total"),
+                (acc["draws"] - n).alias("draws"),
+                F.array_append(acc["left"], F.struct(x["rank"].alias("rank"), n.alias("n"))).alias("left"),
+            )
+
+        return F.transform(drawn_once, out)[0]
 
     return step
 
