@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from regional_balance.llm import bpe, fingerprints, mixing, pii, quality_rules, simhash, token_counts, token_files
+from regional_balance.llm import bpe, fingerprints, mixing, pii, quality_rules, simhash, suffix_index, token_counts, token_files
 from regional_balance.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir), width=4, distance=4)
 
 
+@query("op5_suffix_index")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.remove_repeats(read(spark, sf_dir), length=400, batches=2).drop("kept")
+
+
 @query("op6_token_files")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_token_files(read(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
