@@ -72,27 +72,29 @@ def suffix_array(runs: DataFrame) -> DataFrame:
 
 
 class IndexFamily:
-    """Levels of 1, 2, 4, ... batches, each a stored table of suffixes."""
+    """Levels of 1, 2, 4, ... batches, each a stored table of suffixes. Equal levels merge when the next batch comes."""
 
     def __init__(self):
-        self.levels: dict[int, DataFrame] = {}
+        self.levels: list[tuple[int, DataFrame]] = []
 
     def add(self, runs: DataFrame) -> DataFrame:
         """Index a batch; the entries, of it and of the levels, whose first bytes occur more than once."""
+        self.merge()
         new = store(suffix_array(runs), "suffixes")
         often = new.groupBy("key").agg(F.sum("n").alias("total")).where("total > 1").select("key")
         hits = new.join(often, "key", "left_semi")
-        for level in self.levels.values():
+        for _, level in self.levels:
             hits = hits.union(new.join(level.select("key"), "key", "left_semi"))
             hits = hits.union(level.join(new.select("key"), "key", "left_semi"))
-        hits = store(hits, "hits")
-        size = 0
-        while size in self.levels:
-            both = self.levels.pop(size).union(new)
-            new = store(both.groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min("entry").alias("entry")), "suffixes")
-            size += 1
-        self.levels[size] = new
-        return hits
+        self.levels.append((1, new))
+        return store(hits, "hits")
+
+    def merge(self) -> None:
+        """Merge the last two levels while they hold equally many batches."""
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (size, new), (_, old) = self.levels.pop(), self.levels.pop()
+            both = old.union(new).groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min("entry").alias("entry"))
+            self.levels.append((2 * size, store(both, "suffixes")))
 
 
 def window_digests(body: bytes, length: int) -> list[bytes]:

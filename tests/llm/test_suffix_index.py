@@ -90,4 +90,5 @@ def test_levels_merge_geometrically(spark):
     for b in range(7):
         runs = spark.createDataFrame([(b, b, 0, 0, b, b)], "doc_id long, text_hash long, first int, last int, key long, whole long")
         family.add(runs)
-    assert {size: level.count() for size, level in family.levels.items()} == {0: 1, 1: 2, 2: 4}
+    family.merge()
+    assert [(size, level.count()) for size, level in family.levels] == [(4, 4), (2, 2), (1, 1)]
