@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from regional_balance.llm import bpe, fingerprints, mixing, pii, quality_rules, simhash, suffix_index, token_counts, token_files
+from regional_balance.llm import bpe, fingerprints, kneser_ney, mixing, pii, quality_rules, simhash, suffix_index, token_counts, token_files
 from regional_balance.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir), width=4, distance=4)
 
 
+@query("op4_kneser_ney")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = read(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return kneser_ney.classify(read(spark, sf_dir), trusted, quantile=0.99, margin=1.5)
+
+
 @query("op5_suffix_index")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_index.remove_repeats(read(spark, sf_dir), length=400, batches=2).drop("kept")
