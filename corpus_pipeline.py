@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from regional_balance.llm import bpe, mixing, pii, quality_rules, simhash
 from regional_balance.llm.common import read, store
@@ -39,20 +38,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_chars, n_tokens, ids, ids_sha256, decoded_sha256) for every row."""
+    """(doc_id, lang, source, n_tokens, ids_sha256, decoded_sha256, ids) for every row."""
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    rows = bpe.decode(bpe.encode(docs, ranks, pattern, "ids"), ranks, pattern, "ids", "decoded")
-    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
-    return rows.select(
-        "doc_id",
-        "lang",
-        "source",
-        "n_chars",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        digest.alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(docs, ranks, pattern, carry=["lang", "source"], ids="ids")
 
 
 STAGES = [

@@ -13,12 +13,13 @@ import base64
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from regional_balance.llm.common import free_name, slices, texts
 
@@ -84,23 +85,30 @@ def decode(rows: DataFrame, ranks: str, pattern: str, ids: str = "ids", out: str
     return base.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row: encoding and decoding in one pass over the texts."""
+def round_trip(docs: DataFrame, ranks: str, pattern: str, carry: Sequence[str] = (), ids: str | None = None) -> DataFrame:
+    """(doc_id, carried columns, n_tokens, ids_sha256, decoded_sha256) per row: encoding and decoding in one pass.
+
+    With ``ids`` the token ids come as well, in an array of that name. Only slices of a batch are held as ids.
+    """
     key = free_name(docs, "doc_key")
-    rows = docs.select(F.col("doc_id").alias(key), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias(key), *carry, "text")
+    fields = [StructField("doc_id", LongType()), *(docs.schema[c] for c in carry), StructField("n_tokens", LongType())]
+    fields += [StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
+    fields += [StructField(ids, ArrayType(IntegerType()))] if ids else []
+    schema = StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks, pattern)
-        for batch in slices(batches):
-            ids = [encode_text(enc, t) for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(key).cast(pa.int64()),
-                    pa.array(map(len, ids), pa.int64()),
-                    pa.array([hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in ids], pa.string()),
-                    pa.array([hashlib.sha256(enc.decode_bytes(x)).hexdigest() for x in ids], pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for batch in slices(batches, 64):
+            found = [encode_text(enc, t) for t in texts(batch)]
+            columns = [
+                batch.column(key),
+                *(batch.column(c) for c in carry),
+                pa.array(map(len, found), pa.int64()),
+                pa.array([hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in found], pa.string()),
+                pa.array([hashlib.sha256(enc.decode_bytes(x)).hexdigest() for x in found], pa.string()),
+            ]
+            columns += [pa.array(found, pa.list_(pa.int32()))] if ids else []
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return rows.mapInArrow(run, schema)
