@@ -8,6 +8,7 @@ tests are conditional minima per row, and tables are read out by conditional max
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,29 +60,44 @@ def _column_profile(cells: DataFrame) -> DataFrame:
     )
 
 
-def _fixed_layouts(profile: DataFrame, activities: Sequence[str]) -> DataFrame:
+@dataclass(frozen=True)
+class LayoutRules:
+    """``header_rows``: rows from the top that may hold the header, None for all. ``title_rows`` and ``min_rows``: those
+    above a table in standard order, and the least it has in all."""
+
+    header_rows: int | None = S.HEADER_SEARCH_ROWS
+    title_rows: int = S.FIXED_LAYOUT_TITLE_ROWS
+    min_rows: int = S.FIXED_LAYOUT_MIN_ROWS
+
+
+RULES = LayoutRules()
+
+
+def _fixed_layouts(profile: DataFrame, activities: Sequence[str], rules: LayoutRules) -> DataFrame:
     """Sheets with title rows, then index, region and activity columns in standard order."""
     width = 2 + len(activities)
-    in_region = (F.col("col") == 1) & (F.col("last_present") >= S.FIXED_LAYOUT_TITLE_ROWS)
+    in_region = (F.col("col") == 1) & (F.col("last_present") >= rules.title_rows)
     shape = profile.groupBy(*_SHEET, "sheet").agg(
         (F.max("last_row") + 1).alias("rows"),
         (F.max("col") + 1).alias("cols"),
         F.max(F.coalesce(in_region, F.lit(False))).alias("has_region"),
     )
-    fits = (F.col("cols") >= width) & (F.col("rows") >= S.FIXED_LAYOUT_MIN_ROWS) & F.col("has_region")
+    fits = (F.col("cols") >= width) & (F.col("rows") >= rules.min_rows) & F.col("has_region")
     return shape.filter(fits).select(
         *_SHEET,
         "sheet",
         F.lit(FIXED).alias("layout"),
-        F.lit(S.FIXED_LAYOUT_TITLE_ROWS - 1).alias("header_row"),
+        F.lit(rules.title_rows - 1).alias("header_row"),
         F.lit(1).alias("region_col"),
         F.array(*[F.lit(i) for i in range(2, width)]).alias("activity_cols"),
     )
 
 
-def _header_layouts(cells: DataFrame, profile: DataFrame, activities: Sequence[str]) -> DataFrame:
+def _header_layouts(cells: DataFrame, profile: DataFrame, activities: Sequence[str], rules: LayoutRules) -> DataFrame:
     """Rows among the first ones that name a region column and every activity."""
-    head = cells.filter((F.col("row") < S.HEADER_SEARCH_ROWS) & _has_value(F.col("value")))
+    head = cells.filter(_has_value(F.col("value")))
+    if rules.header_rows is not None:
+        head = head.filter(F.col("row") < rules.header_rows)
     row = [*_SHEET, "sheet", "row"]
     # Of columns with the very same header only the first counts.
     named = head.groupBy(*row, C.strip(F.col("value")).alias("name")).agg(F.min("col").alias("col"))
@@ -114,23 +130,23 @@ def _header_layouts(cells: DataFrame, profile: DataFrame, activities: Sequence[s
     return used.select(*layouts.columns)
 
 
-def find_layouts(cells: DataFrame, activities: Sequence[str] = S.ACTIVITIES) -> DataFrame:
+def find_layouts(cells: DataFrame, activities: Sequence[str] = S.ACTIVITIES, rules: LayoutRules = RULES) -> DataFrame:
     """The layout to read each file by: fixed before header, preferred sheets first, upper header rows first."""
     activities = list(activities)
     profile = _column_profile(cells)
-    every = _fixed_layouts(profile, activities).unionByName(_header_layouts(cells, profile, activities))
+    every = _fixed_layouts(profile, activities, rules).unionByName(_header_layouts(cells, profile, activities, rules))
     order = F.struct("layout", sheet_preference(F.col("sheet")).alias("preference"), "sheet_idx", "header_row")
     best = F.min_by(F.struct("sheet_idx", "layout", "header_row", "region_col", "activity_cols"), order).alias("best")
     return every.groupBy("file").agg(best).select("file", "best.*")
 
 
-def resolve_wide_layout(cells: DataFrame, activities: Sequence[str] = S.ACTIVITIES) -> DataFrame:
+def resolve_wide_layout(cells: DataFrame, activities: Sequence[str] = S.ACTIVITIES, rules: LayoutRules = RULES) -> DataFrame:
     """(file, row, region_id, one column per activity) of every file that has a layout.
 
     Region ids are upper-cased, values that are not numbers count as zero, rows without a region are left out.
     """
     activities = list(activities)
-    layouts = find_layouts(cells, activities)
+    layouts = find_layouts(cells, activities, rules)
     placed = cells.join(layouts, _SHEET, "inner").filter(F.col("row") > F.col("header_row"))
     at = F.col("col")
     values = [
@@ -148,6 +164,6 @@ def resolve_wide_layout(cells: DataFrame, activities: Sequence[str] = S.ACTIVITI
     )
 
 
-def unresolved_files(cells: DataFrame, activities: Sequence[str] = S.ACTIVITIES) -> DataFrame:
+def unresolved_files(cells: DataFrame, activities: Sequence[str] = S.ACTIVITIES, rules: LayoutRules = RULES) -> DataFrame:
     """Files without any layout, to be reported rather than dropped in silence."""
-    return cells.select("file").distinct().join(find_layouts(cells, activities).select("file"), "file", "left_anti")
+    return cells.select("file").distinct().join(find_layouts(cells, activities, rules).select("file"), "file", "left_anti")

@@ -89,4 +89,8 @@ def add_rank(
     same = F.col(score) == F.col("_ranked_score")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return df.drop(rank).join(ranks, same, "left").select(*[F.col(c) for c in df.columns if c != rank], F.col(rank))
+    found = df.drop(rank).join(ranks, same, "left")
+    # A score that changes when it is computed again would find no rank: an error, not a missing rank.
+    lost = F.raise_error(F.lit(f"{score} has no rank: it is not the same each time it is computed; settle it first"))
+    position = F.when(F.col(rank).isNull() & F.col(score).isNotNull(), lost.cast("long")).otherwise(F.col(rank))
+    return found.select(*[F.col(c) for c in df.columns if c != rank], position.alias(rank))

@@ -130,8 +130,8 @@ def spatial_join(
 ) -> DataFrame:
     """Join source geometries to the target regions they intersect; boundary contact counts.
 
-    Sources are points, or any geometries when ``source_id`` names a column that identifies them. An equi-join on
-    grid cells finds the candidates and an exact test decides. The cells of the regions are broadcast if a bound
+    Sources are points and areas in any mixture; areas are told apart by ``source_id`` or else by their content. An
+    equi-join on grid cells finds the candidates and an exact test decides. The cells of the regions are broadcast if a bound
     on their size, computed from the layer, is at most ``broadcast_bytes``; points then do not move at all.
     Otherwise both sides are shuffled by cell and adaptive execution splits a crowded one.
 
@@ -145,10 +145,18 @@ def spatial_join(
     regions = to_crs(target.select(target_id, geometry), srid, geometry)
     grid = Grid(cell_size)
     levels, size = layer_profile(regions, grid, geometry)
-    if source_id is None:
+    is_area = F.coalesce(~G.is_point(F.col(geometry)), F.lit(False))
+    if source_id is not None:
+        joined = _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id)
+    elif source.filter(is_area).isEmpty():
         joined = _join_points(source, regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
     else:
-        joined = _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id)
+        points = _join_points(source.filter(~is_area), regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
+        # Equal rows have equal ids; the geometry join takes each id once and the rows are joined to its pairs.
+        content = F.sha2(F.to_json(F.struct(*[N.quoted(c) for c in source.columns])), 256)
+        areas = source.filter(is_area).withColumn("_source_id", content)
+        areas = _join_polygons(areas, regions, target_id, how, grid, geometry, levels, "_source_id").drop("_source_id")
+        joined = points.unionByName(areas)
     return _with_unmatched_targets(joined, regions, target_id) if how == "right" else joined
 
 
@@ -185,7 +193,7 @@ def _join_polygons(source, regions, target_id, how, grid, geometry, levels, sour
     """Two geometries meet in the cells of the larger one's level: each is laid out on its own level and, for
     partners that are larger, on theirs. A pair is kept only in the cell that holds the lower left corner of the
     intersection of the two boxes."""
-    s = _boxed(source, source_id, geometry, grid, "_s")
+    s = _boxed(source.dropDuplicates([source_id]), source_id, geometry, grid, "_s")
     t = _boxed(regions, target_id, geometry, grid, "_t")
     target_levels = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
     source_levels = s.agg(F.collect_set("_sown").alias("levels")).scalar()

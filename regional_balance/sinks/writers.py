@@ -24,14 +24,19 @@ CURRENT_NAMES = {
 
 
 def run_stamp() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    """Time to the microsecond: two runs do not share it."""
+    return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
 
 
 def write_run(df: DataFrame, root: str, name: str, run_ts: str, vintage: str = S.DEFAULT_VINTAGE) -> str:
-    """Append a run to the Parquet history ``root/name``, partitioned by vintage and run."""
+    """Put a run into the Parquet history ``root/name``, partitioned by vintage and run.
+
+    Writing the same run again replaces it, so a job that is tried again does not double it.
+    """
     path = f"{root}/{name}"
     stamped = df.withColumns({"vintage": F.lit(vintage), "run_ts": F.lit(run_ts)})
-    stamped.write.mode("append").partitionBy("vintage", "run_ts").parquet(path)
+    by_run = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    by_run.partitionBy("vintage", "run_ts").parquet(path)
     return path
 
 

@@ -104,3 +104,13 @@ def test_cells_from_csv(spark, tmp_path):
 def test_no_row_gathering_in_the_plan(spark, plan):
     text = plan(resolve(spark, sheet("f", 0, "s", fixed_grid(["a", "b"]))))
     assert "collect_" not in text and "Python" not in text
+
+
+def test_header_far_down_is_found_without_a_bound(spark):
+    from regional_balance.operators import layout as L
+
+    cells = [("f", 0, "Sheet1", 20, 0, "Region"), ("f", 0, "Sheet1", 20, 1, "Park"), ("f", 0, "Sheet1", 21, 0, "Kent"), ("f", 0, "Sheet1", 21, 1, "4")]
+    df = spark.createDataFrame(cells, "file string, sheet_idx int, sheet string, row int, col int, value string")
+    assert L.unresolved_files(df, ["Park"]).count() == 1
+    row = L.resolve_wide_layout(df, ["Park"], L.LayoutRules(header_rows=None)).first()
+    assert (row.region_id, row.Park) == ("KENT", 4.0)

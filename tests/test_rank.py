@@ -64,3 +64,5 @@ def test_ranges_stay_few(spark, sf):
 def test_rank_replaces_an_earlier_rank(spark):
     df = spark.createDataFrame([(1.0, 9), (2.0, 9)], "need_score double, priority_rank long")
     assert sorted((r.need_score, r.priority_rank) for r in add_rank(df).collect()) == [(1.0, 2), (2.0, 1)]
+
+

@@ -172,3 +172,25 @@ def test_latest_run_by_group(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "vintage string, run_ts int, v string")
     assert [r.v for r in results.latest_run(df).collect()] == ["y"]
     assert sorted(r.v for r in results.latest_run(df, by=["vintage"]).collect()) == ["y", "z"]
+
+
+def test_a_run_written_twice_is_there_once(spark, tmp_path):
+    from regional_balance.sinks.writers import write_run
+
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "region_id string, need_score double")
+    for run in ("r1", "r2", "r1"):
+        path = write_run(df, str(tmp_path), "need_table", run)
+    assert spark.read.parquet(path).groupBy("run_ts").count().orderBy("run_ts").collect() == [("r1", 2), ("r2", 2)]
+
+
+def test_deep_files_are_listed_or_reported(spark, tmp_path):
+    from regional_balance.sources.discovery import list_files, too_deep
+
+    deep = tmp_path / "a/b/c/d/e"
+    deep.mkdir(parents=True)
+    (deep / "D8.csv").write_text("x")
+    (tmp_path / "a/S1.csv").write_text("x")
+    names = lambda df: sorted(r.path.rsplit("/", 1)[1] for r in df.collect())
+    assert names(list_files(spark, str(tmp_path))) == ["S1.csv"]
+    assert names(too_deep(spark, str(tmp_path))) == ["D8.csv"]
+    assert names(list_files(spark, str(tmp_path), max_depth=None)) == ["D8.csv", "S1.csv"]

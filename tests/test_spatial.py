@@ -220,3 +220,29 @@ def test_alignment_and_assignment(spark):
     assert {r.region_id: r.geometry is not None for r in shapes.collect()} == {"A": True, "B": True, "C": False}
     placed = facilities.withColumn("region_id", F.when(F.col("facility_id") == "f1", "Z"))
     assert pairs(align_to_geography(survey, survey, placed, bounds).facilities, "facility_id", "region_id") == [("f1", "Z")]
+
+
+def test_areas_join_every_region_they_meet(spark):
+    """Park areas without ids beside points: over two regions, first corner outside all regions, twice the same row."""
+    from pyspark.sql import functions as F
+
+    from regional_balance.functions import geometry as geo
+    from regional_balance.operators import spatial as sp
+
+    def box(x1, y1, x2, y2):
+        return geo.box(*[F.lit(float(v)) for v in (x1, y1, x2, y2)])
+
+    one = spark.range(1)
+    regions = one.select(F.lit("R0").alias("region_id"), box(0, 0, 1, 1).alias("geometry"))
+    regions = regions.union(one.select(F.lit("R1"), box(1, 0, 2, 1)))
+    rows = [("both", box(0.5, 0.2, 1.5, 0.4)), ("outside first", box(-1, 0.2, 0.5, 0.4)), ("far", box(5, 5, 6, 6))]
+    rows += [("twice", box(1.2, 0.2, 1.3, 0.3))] * 2 + [("point", geo.point(F.lit(0.3), F.lit(0.3)))]
+    parks = None
+    for name, shape in rows:
+        row = one.select(F.lit(name).alias("name"), shape.alias("geometry"))
+        parks = row if parks is None else parks.union(row)
+    pairs = lambda how: sorted((r.name, r.region_id or "") for r in sp.spatial_join(parks, regions, how=how).collect())
+    inner = [("both", "R0"), ("both", "R1"), ("outside first", "R0"), ("point", "R0"), ("twice", "R1"), ("twice", "R1")]
+    assert pairs("inner") == inner
+    assert pairs("left") == sorted([*inner, ("far", "")])
+    assert sorted(r.name for r in sp.assign_regions(parks, regions).collect()) == [n for n, _ in inner]
