@@ -1,7 +1,8 @@
 """Geometry as nested arrays and the expressions over it. See ``schema.GEOMETRY_TYPE``.
 
-A geometry has an SRID, a kind (``point``, ``polygon``, ``multipolygon``) and polygons -> rings -> vertices. The first
-ring of a polygon is its outline, the others are holes. A point is one polygon of one ring of one vertex.
+A geometry has an SRID, a kind (``KINDS``) and polygons -> rings -> vertices. The first ring of a polygon is its
+outline, the others are holes. Points and lines use the same nesting: each point, or each line, is a part of its own, one
+"polygon" of one "ring" that is not closed.
 """
 
 from __future__ import annotations
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 from regional_balance import schema as S
 
 
+AREAS, LINES, POINTS = ("polygon", "multipolygon"), ("linestring", "multilinestring"), ("point", "multipoint")
+KINDS = (*AREAS, *LINES, *POINTS)
+
+
 def point(x: Column, y: Column, srid: int = S.SRID_LONLAT) -> Column:
     vertex = F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     value = F.struct(
@@ -53,6 +58,15 @@ def is_point(g: Column) -> Column:
     return g["kind"] == "point"
 
 
+def is_area(g: Column) -> Column:
+    return g["kind"].isin(*AREAS)
+
+
+def starts(g: Column) -> Column:
+    """array<struct<x,y>>: the first vertex of every part."""
+    return F.transform(g["polygons"], lambda p: p[0][0])
+
+
 def bbox(g: Column) -> Column:
     """struct<x1,y1,x2,y2>"""
     xs = F.transform(vertices(g), lambda p: p["x"])
@@ -90,14 +104,15 @@ def _signed_area(ring: Column) -> Column:
 
 
 def area(g: Column) -> Column:
-    """Outlines less holes, in the units of the geometry's CRS."""
+    """Outlines less holes, in the units of the geometry's CRS; zero for points and lines."""
 
     def of_polygon(rings_: Column) -> Column:
         holes = F.slice(rings_, F.lit(2), F.greatest(F.size(rings_) - 1, F.lit(0)))
         hole_area = F.aggregate(holes, F.lit(0.0), lambda acc, r: acc + F.abs(_signed_area(r)))
         return F.abs(_signed_area(rings_[0])) - hole_area
 
-    return F.aggregate(g["polygons"], F.lit(0.0), lambda acc, p: acc + of_polygon(p))
+    total = F.aggregate(g["polygons"], F.lit(0.0), lambda acc, p: acc + of_polygon(p))
+    return F.when(g["kind"].isin(*LINES, *POINTS), F.lit(0.0)).otherwise(total)
 
 
 def _map_vertices(g: Column, srid: int, fx, fy) -> Column:
@@ -185,12 +200,37 @@ def edges_meet(e: Column, f: Column) -> Column:
     return ((o1 * o2 < 0) & (o3 * o4 < 0)) | touching
 
 
-def polygons_meet(edges_a: Column, edges_b: Column) -> Column:
-    """Outlines meet, or one polygon lies within the other."""
+def polygons_meet(
+    edges_a: Column,
+    edges_b: Column,
+    starts_a: Column | None = None,
+    starts_b: Column | None = None,
+    area_a: Column | None = None,
+    area_b: Column | None = None,
+) -> Column:
+    """Outlines meet, or a part of one lies within the other.
+
+    A part that crosses no outline lies inside or outside as a whole, so its first vertex answers for it. Without
+    ``starts`` each side is taken for an area of one part; ``area_a`` and ``area_b`` tell areas from lines and points,
+    which have edges but no inside.
+    """
+
+    def first(edge_list: Column) -> Column:
+        return F.transform(F.slice(edge_list, 1, 1), lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y")))
+
+    def reaches(parts: Column, edge_list: Column, area: Column | None) -> Column:
+        def within(v: Column) -> Column:
+            if area is None:
+                return covers_point(edge_list, v["x"], v["y"])
+            on = F.exists(edge_list, lambda e: on_edge(v["x"], v["y"], e))
+            return F.when(area, covers_point(edge_list, v["x"], v["y"])).otherwise(on)
+
+        return F.exists(parts, within)
+
+    starts_a = first(edges_a) if starts_a is None else starts_a
+    starts_b = first(edges_b) if starts_b is None else starts_b
     meet = F.exists(edges_a, lambda e: F.exists(edges_b, lambda f: edges_meet(e, f)))
-    a_in_b = covers_point(edges_b, edges_a[0]["x1"], edges_a[0]["y1"])
-    b_in_a = covers_point(edges_a, edges_b[0]["x1"], edges_b[0]["y1"])
-    return meet | a_in_b | b_in_a
+    return meet | reaches(starts_a, edges_b, area_b) | reaches(starts_b, edges_a, area_a) | F.arrays_overlap(starts_a, starts_b)
 
 
 def close_rings(g: Column) -> Column:
@@ -207,7 +247,7 @@ def close_rings(g: Column) -> Column:
         g["polygons"], lambda p: F.transform(F.transform(p, closed), lambda r, i: orient(r, i == 0))
     )
     value = F.struct(g["srid"].alias("srid"), g["kind"].alias("kind"), fixed.alias("polygons"))
-    return F.when(g.isNull() | is_point(g), g).otherwise(value)
+    return F.when(is_area(g), value).otherwise(g)
 
 
 def problem(g: Column) -> Column:
@@ -216,7 +256,8 @@ def problem(g: Column) -> Column:
     unclosed = F.exists(rings(g), lambda r: r[0] != F.element_at(r, -1))
     return (
         F.when(g.isNull() | (F.size(vertices(g)) < 1), F.lit("no geometry"))
-        .when(is_point(g), F.lit(None).cast("string"))
+        .when(g["kind"].isin(*LINES) & F.exists(rings(g), lambda r: F.size(r) < 2), F.lit("too few vertices"))
+        .when(~is_area(g), F.lit(None).cast("string"))
         .when(unclosed, F.lit("unclosed ring"))
         .when(too_short, F.lit("too few vertices"))
         .when(area(g) == 0, F.lit("zero area"))
@@ -224,8 +265,8 @@ def problem(g: Column) -> Column:
 
 
 def from_geojson(kind: Column, coordinates: Column, srid: Column) -> Column:
-    """From a GeoJSON geometry's type and the text of its coordinates (points and polygons)."""
-    depth = {"Point": 1, "Polygon": 3, "MultiPolygon": 4}
+    """From a GeoJSON geometry's type and the text of its coordinates; null for collections and what cannot be read."""
+    depth = {"Point": 1, "MultiPoint": 2, "LineString": 2, "MultiLineString": 3, "Polygon": 3, "MultiPolygon": 4}
 
     def parsed(levels: int) -> Column:
         ddl = "double"
@@ -241,6 +282,9 @@ def from_geojson(kind: Column, coordinates: Column, srid: Column) -> Column:
 
     polys = (
         F.when(kind == "Point", F.array(F.array(F.array(vertex(parsed(depth["Point"]))))))
+        .when(kind == "MultiPoint", F.transform(parsed(depth["MultiPoint"]), lambda v: F.array(F.array(vertex(v)))))
+        .when(kind == "LineString", F.array(F.array(F.transform(parsed(depth["LineString"]), vertex))))
+        .when(kind == "MultiLineString", F.transform(parsed(depth["MultiLineString"]), lambda r: F.array(F.transform(r, vertex))))
         .when(kind == "Polygon", F.array(polygon_rings(parsed(depth["Polygon"]))))
         .when(kind == "MultiPolygon", F.transform(parsed(depth["MultiPolygon"]), polygon_rings))
     )
@@ -264,6 +308,9 @@ def to_geojson(g: Column) -> Column:
     many = F.to_json(F.transform(polys, lambda p: F.transform(p, lambda r: F.transform(r, vertex))))
     return F.coalesce(
         F.when(is_point(g), text("Point", F.to_json(vertex(polys[0][0][0]))))
+        .when(g["kind"] == "multipoint", text("MultiPoint", F.to_json(F.transform(polys, lambda p: vertex(p[0][0])))))
+        .when(g["kind"] == "linestring", text("LineString", F.to_json(F.transform(polys[0][0], vertex))))
+        .when(g["kind"] == "multilinestring", text("MultiLineString", F.to_json(F.transform(polys, lambda p: F.transform(p[0], vertex)))))
         .when(g["kind"] == "polygon", text("Polygon", polygon_text(polys[0])))
         .when(g["kind"] == "multipolygon", text("MultiPolygon", many)),
         F.lit("null"),

@@ -68,9 +68,11 @@ class Grid:
 
 
 def _boxed(df: DataFrame, ident: str, geometry: str, grid: Grid, prefix: str) -> DataFrame:
-    """(prefix_id, prefix_b box, prefix_e edges, prefix_own level) of geometries that are not missing."""
+    """(prefix_id, prefix_b box, prefix_e edges, prefix_p first vertex of each part, prefix_a whether an area,
+    prefix_own level) of geometries that are not missing."""
     g, box = F.col(geometry), F.col(f"{prefix}b")
-    boxed = df.filter(g.isNotNull()).select(F.col(ident).alias(f"{prefix}id"), G.bbox(g).alias(f"{prefix}b"), G.edges(g).alias(f"{prefix}e"))
+    found = {"id": F.col(ident), "b": G.bbox(g), "e": G.edges(g), "p": G.starts(g), "a": G.is_area(g)}
+    boxed = df.filter(g.isNotNull()).select(*[c.alias(f"{prefix}{n}") for n, c in found.items()])
     return boxed.withColumn(f"{prefix}own", grid.level(box))
 
 
@@ -97,7 +99,7 @@ def region_cells(targets: DataFrame, grid: Grid, target_id: str, geometry: str =
     outside are dropped.
     """
     level, cx, cy = F.col("_town"), F.col("_cx"), F.col("_cy")
-    cells = _boxed(targets, target_id, geometry, grid, "_t")
+    cells = _boxed(targets, target_id, geometry, grid, "_t").drop("_tp", "_ta")
     cells = cells.withColumn("_cx", F.explode(grid.span(F.col("_tb.x1"), F.col("_tb.x2"), level)))
     cells = cells.withColumn("_cy", F.explode(grid.span(F.col("_tb.y1"), F.col("_tb.y2"), level)))
 
@@ -130,8 +132,8 @@ def spatial_join(
 ) -> DataFrame:
     """Join source geometries to the target regions they intersect; boundary contact counts.
 
-    Sources are points and areas in any mixture; areas are told apart by ``source_id`` or else by their content. An
-    equi-join on grid cells finds the candidates and an exact test decides. The cells of the regions are broadcast if a bound
+    Targets are areas. Sources are points, lines and areas in any mixture, also of several parts; what is not a single point is told
+    apart by ``source_id`` or else by its content. An equi-join on grid cells finds the candidates and an exact test decides. The cells of the regions are broadcast if a bound
     on their size, computed from the layer, is at most ``broadcast_bytes``; points then do not move at all.
     Otherwise both sides are shuffled by cell and adaptive execution splits a crowded one.
 
@@ -145,18 +147,18 @@ def spatial_join(
     regions = to_crs(target.select(target_id, geometry), srid, geometry)
     grid = Grid(cell_size)
     levels, size = layer_profile(regions, grid, geometry)
-    is_area = F.coalesce(~G.is_point(F.col(geometry)), F.lit(False))
+    extended = F.coalesce(~G.is_point(F.col(geometry)), F.lit(False))
     if source_id is not None:
         joined = _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id)
-    elif source.filter(is_area).isEmpty():
+    elif source.filter(extended).isEmpty():
         joined = _join_points(source, regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
     else:
-        points = _join_points(source.filter(~is_area), regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
+        points = _join_points(source.filter(~extended), regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
         # Equal rows have equal ids; the geometry join takes each id once and the rows are joined to its pairs.
         content = F.sha2(F.to_json(F.struct(*[N.quoted(c) for c in source.columns])), 256)
-        areas = source.filter(is_area).withColumn("_source_id", content)
-        areas = _join_polygons(areas, regions, target_id, how, grid, geometry, levels, "_source_id").drop("_source_id")
-        joined = points.unionByName(areas)
+        others = source.filter(extended).withColumn("_source_id", content)
+        others = _join_polygons(others, regions, target_id, how, grid, geometry, levels, "_source_id").drop("_source_id")
+        joined = points.unionByName(others)
     return _with_unmatched_targets(joined, regions, target_id) if how == "right" else joined
 
 
@@ -189,10 +191,10 @@ def _join_points(source, regions, target_id, how, grid, geometry, levels, small)
     return matched.select(*columns, target_id).unionByName(alone.select(*columns), allowMissingColumns=True)
 
 
-def _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id):
+def _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id, ordered=False):
     """Two geometries meet in the cells of the larger one's level: each is laid out on its own level and, for
     partners that are larger, on theirs. A pair is kept only in the cell that holds the lower left corner of the
-    intersection of the two boxes."""
+    intersection of the two boxes. ``ordered`` keeps pairs whose source id is the smaller one, before edges are compared."""
     s = _boxed(source.dropDuplicates([source_id]), source_id, geometry, grid, "_s")
     t = _boxed(regions, target_id, geometry, grid, "_t")
     target_levels = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
@@ -212,12 +214,14 @@ def _join_polygons(source, regions, target_id, how, grid, geometry, levels, sour
     by_target = laid_out(s, "_s", finer_sources).join(laid_out(t, "_t", F.col("_town")).drop("_source_levels"), keys)
     a, b = F.col("_sb"), F.col("_tb")
     left_x, left_y = F.greatest(a["x1"], b["x1"]), F.greatest(a["y1"], b["y1"])
+    wanted = F.col("_sid") < F.col("_tid") if ordered else F.lit(True)
     met = (
-        (left_x <= F.least(a["x2"], b["x2"]))
+        wanted
+        & (left_x <= F.least(a["x2"], b["x2"]))
         & (left_y <= F.least(a["y2"], b["y2"]))
         & (grid.cell(left_x, F.col("_level")) == F.col("_cx"))
         & (grid.cell(left_y, F.col("_level")) == F.col("_cy"))
-        & G.polygons_meet(F.col("_se"), F.col("_te"))
+        & G.polygons_meet(*[F.col(c) for c in ("_se", "_te", "_sp", "_tp", "_sa", "_ta")])
     )
     pairs = by_source.filter(met).select("_sid", "_tid").unionByName(by_target.filter(met).select("_sid", "_tid"))
     joined = source.join(pairs, F.col(source_id) == F.col("_sid"), "left" if how == "left" else "inner")
@@ -303,6 +307,9 @@ def dissolve_outline(df: DataFrame, region: str, geometry: str = "geometry") ->
 
 def overlapping_parts(df: DataFrame, part_id: str, geometry: str = "geometry", cell_size: float | None = None, srid: int = S.SRID_WORKING) -> DataFrame:
     """Pairs of parts whose interiors or outlines meet: (part_id, other). Neighbours that share an edge are among them."""
-    other = df.select(F.col(part_id).alias("other"), geometry)
-    pairs = spatial_join(df.select(part_id, geometry), other, "other", "inner", cell_size, geometry, part_id, srid)
-    return pairs.filter(F.col(part_id) < F.col("other")).select(part_id, "other")
+    S.require(df, part_id, geometry, what="parts")
+    grid = Grid(cell_size)
+    parts = to_crs(df.select(part_id, geometry), srid, geometry)
+    others = parts.select(F.col(part_id).alias("other"), geometry)
+    levels, _ = layer_profile(others, grid, geometry)
+    return _join_polygons(parts, others, "other", "inner", grid, geometry, levels, part_id, ordered=True).select(part_id, "other")
