@@ -38,6 +38,17 @@ def box(x1: Column, y1: Column, x2: Column, y2: Column, srid: int = S.SRID_LONLA
     return polygon(ring, srid=srid)
 
 
+def joined_parts(kind: str, *parts: Column) -> Column:
+    """One geometry of the parts of several in the same CRS."""
+    every = F.concat(*[p["polygons"] for p in parts])
+    return F.struct(parts[0]["srid"].alias("srid"), F.lit(kind).alias("kind"), every.alias("polygons"))
+
+
+def line(*ends: Column, srid: int = S.SRID_LONLAT) -> Column:
+    """Through vertices given as ``struct<x,y>``."""
+    return F.struct(F.lit(srid).alias("srid"), F.lit("linestring").alias("kind"), F.array(F.array(F.array(*ends))).alias("polygons"))
+
+
 def rings(g: Column) -> Column:
     return F.flatten(g["polygons"])
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,14 +18,27 @@ from regional_balance.operators import supply as U
 from regional_balance.operators.clean import clean_demand_wide
 
 
-@dataclass(frozen=True)
+@dataclass
 class ScoredRegions:
-    """Lazy results; nothing runs until one of them is written or read."""
+    """Results, each built when first asked for. Only the need table may run jobs while it is built (its scores are
+    checkpointed unless ``reproducible``); the activity metrics do not depend on it."""
 
-    need_table: DataFrame
-    improvement: DataFrame
+    build: Callable[[], DataFrame]
     activity_metrics: DataFrame | None
-    layer: DataFrame | None
+    boundaries: DataFrame | None
+    threshold: float
+
+    @cached_property
+    def need_table(self) -> DataFrame:
+        return self.build()
+
+    @cached_property
+    def improvement(self) -> DataFrame:
+        return R.improvement_list(self.need_table, self.threshold)
+
+    @cached_property
+    def layer(self) -> DataFrame | None:
+        return None if self.boundaries is None else R.attach_geometry(self.need_table, self.boundaries)
 
 
 def score_regions(
@@ -38,6 +52,8 @@ def score_regions(
     activities: Iterable[str] = S.ACTIVITIES,
     params: S.ScoreParams = S.ScoreParams(),
     dedupe_supply: str | None = None,
+    pair_repeats: bool = False,
+    reproducible: bool = False,
 ) -> ScoredRegions:
     """Score every supply region.
 
@@ -45,6 +61,9 @@ def score_regions(
     reduced to one value (``activity``, or all activities; as a share of the total with ``normalize``) that
     every supply region gets, and it also gives the region x activity metrics. ``supply`` is any table with a
     region and a supply column, or None for a constant supply of 1. Rows without a region id are left out.
+
+    A region with k supply rows gets k rows. ``pair_repeats`` joins the rows of a region with each other instead,
+    which gives k x k of them. ``reproducible`` is that of ``need_table``.
     """
     by, activities = list(by), list(activities)
     direct = "demand_value" in demand.columns
@@ -70,11 +89,14 @@ def score_regions(
         known = N.activity_columns(demand, activities)
         scalar = D.scalar_demand(per_activity, activity, normalize, by, known)
         values = D.spread_demand(regions, scalar, by)
+        if supply is not None and not pair_repeats:
+            values = values.dropDuplicates([*by, "region_id"])
         if supply is not None:
             per_region = U.activity_supply(supply, activities, by)
             metrics = M.activity_metrics(per_activity, per_region, by, params, list(known))
     values = values.filter(F.col("region_id").isNotNull())
 
-    table = R.need_table(values, regions, by, params, keys_unique=unique, dedupe_supply=dedupe_supply)
-    layer = R.attach_geometry(table, boundaries) if boundaries is not None else None
-    return ScoredRegions(table, R.improvement_list(table, threshold), metrics, layer)
+    def build() -> DataFrame:
+        return R.need_table(values, regions, by, params, keys_unique=unique, dedupe_supply=dedupe_supply, reproducible=reproducible)
+
+    return ScoredRegions(build, metrics, boundaries, threshold)

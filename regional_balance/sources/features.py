@@ -30,6 +30,19 @@ def parse_feature_lines(lines: DataFrame, column: str = "value", srid: int = S.S
     return _rows(parsed, F.lit(srid))
 
 
+def rejected_lines(lines: DataFrame, column: str = "value", srid: int = S.SRID_LONLAT) -> DataFrame:
+    """(the line, reason) for lines that ``parse_feature_lines`` drops or whose geometry it cannot give; blank ones aside."""
+    parsed = lines.filter(F.trim(column) != "").select(column, F.from_json(column, _FEATURE).alias("_f"))
+    geometry, kind = F.col("_f.geometry"), F.col("_f.geometry.type")
+    reason = (
+        F.when(~F.col("_f.type").eqNullSafe("Feature"), F.lit("not a feature"))
+        .when(kind.isNull(), F.lit("no geometry"))
+        .when(~F.lower(kind).isin(*G.KINDS), F.concat(F.lit("geometry not known: "), kind))
+        .when(G.from_geojson(kind, geometry["coordinates"], F.lit(srid)).isNull(), F.lit("coordinates cannot be read"))
+    )
+    return parsed.select(column, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def read_features(spark: SparkSession, path: str, lines: bool | None = None, srid: int | None = None) -> DataFrame:
     """Features of a file or folder.
 

@@ -298,9 +298,10 @@ def test_run_without_normalising_and_without_supply(spark):
     assert run.activity_metrics is None and run.layer is None
 
 
-def test_run_repeated_supply_multiplies_unless_summed(spark):
+def test_run_repeated_supply_pairs_on_request_only(spark):
     s = spark.createDataFrame([("a", 4.0), ("a", 1.0)], "county string, supply double")
-    assert score_regions(wide(spark), s).need_table.count() == 4
+    assert sorted(r.supply_value for r in score_regions(wide(spark), s).need_table.collect()) == [1.0, 4.0]
+    assert score_regions(wide(spark), s, pair_repeats=True).need_table.count() == 4
     run = score_regions(wide(spark), s, dedupe_supply="sum")
     assert set(r.supply_value for r in run.need_table.collect()) == {5.0}
 

@@ -246,3 +246,30 @@ def test_areas_join_every_region_they_meet(spark):
     assert pairs("inner") == inner
     assert pairs("left") == sorted([*inner, ("far", "")])
     assert sorted(r.name for r in sp.assign_regions(parks, regions).collect()) == [n for n, _ in inner]
+
+
+def test_parts_lines_and_multipoints_meet_areas(spark):
+    """Multi-part sources are matched by every part; an outline of a line has no inside."""
+    tgt = layer(spark, [("A", geom([square(0, 0, 10)])), ("B", geom([square(20, 0, 1)])), ("ring", geom([square(40, 0, 10), square(41, 1, 8)]))])
+
+    def parts(kind, *each):
+        return (W, kind, [[[(float(x), float(y)) for x, y in part]] for part in each])
+
+    rows = [
+        ("two areas", parts("multipolygon", square(100, 100), square(4, 4))),
+        ("points", parts("multipoint", [(99, 99)], [(5, 5)], [(20, 0.5)])),
+        ("trail", parts("linestring", [(-1, 5), (20.5, 5), (20.5, 0.5)])),
+        ("trail inside", parts("multilinestring", [(70, 70), (71, 71)], [(2, 2), (3, 3)])),
+        ("round B", parts("linestring", square(15, -5, 11))),
+        ("in hole", parts("linestring", [(43, 3), (44, 4)])),
+        ("point", point(20.5, 0.5)),
+    ]
+    src = layer(spark, rows, "name string")
+    want = [("points", "A"), ("points", "B"), ("point", "B"), ("trail", "A"), ("trail", "B"), ("trail inside", "A"), ("two areas", "A")]
+    assert pairs(X.spatial_join(src, tgt, how="inner"), "name", "region_id") == sorted(want, key=str)
+    assert pairs(X.spatial_join(src, tgt, how="inner", source_id="name"), "name", "region_id") == sorted(want, key=str)
+    g = F.col("geometry")
+    back = F.get_json_object(G.to_geojson(g), "$")
+    read = G.from_geojson(F.get_json_object(back, "$.type"), F.get_json_object(back, "$.coordinates"), F.lit(W))
+    assert src.filter(~read["polygons"].eqNullSafe(g["polygons"])).count() == 0
+    assert src.select(F.sum(G.area(g))).first()[0] == 2.0 and src.filter(G.problem(g).isNotNull()).count() == 0

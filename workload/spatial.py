@@ -13,7 +13,7 @@ from regional_balance.operators import supply as U
 from regional_balance.operators import validate as V
 from regional_balance.plans.alignment import align_to_geography, score_aligned
 from regional_balance.schema import SRID_LONLAT, SRID_WORKING, ScoreParams
-from regional_balance.sources.features import boundary_rows
+from regional_balance.sources.features import boundary_rows, rejected_lines
 from workload.registry import Tables, money, query, rounded, sql_need
 from workload.scores import NEED_COLUMNS, SQL_NATION, nation_table, tidy
 
@@ -96,6 +96,48 @@ def spatial_join_polygons(spark, sf):
     return X.spatial_join(parcels(t), grid(t), source_id="c_custkey").select("c_custkey", "region_id")
 
 
+@query(
+    "spatial_assign_areas",
+    f"""{SQL_PARCELS} SELECT c_custkey, region_id FROM p JOIN g ON x <= gx + 1 AND x + 0.25 >= gx AND y <= gy + 1 AND y + 0.25 >= gy""",
+)
+def spatial_assign_areas(spark, sf):
+    """Facilities of two parts without ids: the first outside every region, the second over one or several."""
+    t = Tables(spark, sf)
+    far = G.box(*[F.lit(v) for v in (-9.0, -9.0, -8.0, -8.0)], SRID_WORKING)
+    shapes = parcels(t).withColumn("geometry", G.joined_parts("multipolygon", far, F.col("geometry")))
+    return align_to_geography(t.nation, t.nation, shapes, grid(t)).facilities.select("c_custkey", "region_id")
+
+
+@query(
+    "spatial_assign_lines",
+    f"""{SQL_PARCELS} SELECT c_custkey, region_id FROM p JOIN g ON x <= gx + 1 AND x + 1.5 >= gx AND y BETWEEN gy AND gy + 1""",
+)
+def spatial_assign_lines(spark, sf):
+    """Trails along a row of regions: each belongs to all regions that it touches."""
+    t = Tables(spark, sf)
+    x, y = (F.col("c_acctbal") + 1000) / 2000, F.col("c_nationkey") / 5.0
+    ends = [F.struct(v.alias("x"), y.alias("y")) for v in (x, x + 1.5)]
+    trails = t.customer.select("c_custkey", G.line(*ends, srid=SRID_WORKING).alias("geometry"))
+    return align_to_geography(t.nation, t.nation, trails, grid(t)).facilities.select("c_custkey", "region_id")
+
+
+@query(
+    "features_rejected",
+    """SELECT reason, COUNT(*) AS n FROM (SELECT CASE c_nationkey % 5 WHEN 0 THEN 'geometry not known: GeometryCollection' WHEN 1 THEN 'not a feature'
+WHEN 2 THEN 'no geometry' END AS reason FROM customer) WHERE reason IS NOT NULL GROUP BY 1""",
+)
+def features_rejected(spark, sf):
+    """Lines of GeoJSON that give no geometry, by reason; points and lines are read."""
+    kinds = F.array(*[F.lit(k) for k in ("GeometryCollection", "", "", "Point", "LineString")])
+    coordinates = F.array(*[F.lit(k) for k in ("[]", "[]", "[]", "[1,2]", "[[1,2],[3,4]]")])
+    n = (F.col("c_nationkey") % 5).cast("int")
+    shape = F.format_string('{"type":"%s","coordinates":%s}', kinds[n], coordinates[n])
+    shape = F.when(n == 2, F.lit("null")).otherwise(shape)
+    kind = F.when(n == 1, F.lit("Topology")).otherwise(F.lit("Feature"))
+    text = F.format_string('{"type":"%s","id":"%d","properties":{},"geometry":%s}', kind, F.col("c_custkey"), shape)
+    return rejected_lines(Tables(spark, sf).customer.select(text.alias("value"))).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query(
     "spatial_join_right",
     f"""WITH {SQL_GRID}, p AS (SELECT s_suppkey, s_acctbal / 2500 AS x, s_nationkey / 5.0 AS y FROM supplier)
