@@ -18,8 +18,8 @@ def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFram
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-    """Write a frame once into the shared folder, in folders of column ``by`` if given, and go on from the files.
+def stored(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """Write a frame once into the shared folder, in folders of column ``by`` if given; the frame read back and its path.
 
     Cuts lineage: what follows survives lost executors and does not compute the frame again.
     """
@@ -27,7 +27,19 @@ def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``stored`` without the path, for frames that stay."""
+    return stored(df, name, by)[0]
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored frames that nothing reads any more."""
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def free_name(df: DataFrame, base: str) -> str:

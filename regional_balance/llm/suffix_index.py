@@ -3,8 +3,9 @@
 A window is a string of ``length`` bytes inside one text. The index holds a sparse suffix array: of all suffixes of a
 text only those at anchors (see ``suffixes``), one for each run of window starts that share their anchor, ordered by the
 hash of the suffix's first 32 bytes and the hash of all bytes the run covers. New batches of texts get such an array,
-which is merge-scanned against every level of the family; then it becomes a level, and levels of equal size are
-merged into one of the next size, so that n batches leave log n levels and each entry is rewritten log n times.
+whose keys are matched with those of every level of the family; then it becomes a level, and levels of equal size are
+merged at once into one of the next size, so that n batches leave log n levels and each entry is rewritten log n times
+at most. Matches are kept as keys, and a merged level's parts are deleted: each entry is on disk once between batches.
 
 What a scan tells of a run: another run covers the same bytes, so all its windows repeat; or another run has the same
 first bytes only, so some may; or nothing matches, so none does. For the second case, entries with the same key are compared
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regional_balance.llm.common import partitions, same, slices, store, text_column
+from regional_balance.llm.common import discard, partitions, same, slices, store, stored, text_column
 from regional_balance.llm.suffixes import anchored_runs, run_hashes
 
 #: Entries of one key that a task compares from their bytes (some 600 bytes each).
 GROUP = 4096
+#: Batches follow the input, so many bytes of text each. Each is compared with all levels: few large ones, so that it is not all to all.
+BATCH_BYTES = 8 << 30
+#: With four batches levels of one and of two batches merge.
+LEAST_BATCHES = 4
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -72,29 +78,52 @@ def suffix_array(runs: DataFrame) -> DataFrame:
 
 
 class IndexFamily:
-    """Levels of 1, 2, 4, ... batches, each a stored table of suffixes. Equal levels merge when the next batch comes."""
+    """Levels of 1, 2, 4, ... batches, each a stored table of suffixes. Levels merge as soon as equal ones meet."""
 
     def __init__(self):
         self.levels: list[tuple[int, DataFrame]] = []
+        self.paths: list[str] = []
+        self.hits: list[tuple[DataFrame, str]] = []
 
-    def add(self, runs: DataFrame) -> DataFrame:
-        """Index a batch; the entries, of it and of the levels, whose first bytes occur more than once."""
-        self.merge()
-        new = store(suffix_array(runs), "suffixes")
-        often = new.groupBy("key").agg(F.sum("n").alias("total")).where("total > 1").select("key")
-        hits = new.join(often, "key", "left_semi")
+    def add(self, runs: DataFrame) -> None:
+        """Index a batch; keep the keys in it whose first bytes occur more than once, in it and the levels."""
+        new, path = stored(suffix_array(runs), "suffixes")
+        seen = new.select("key", "n", F.lit(True).alias("fresh"))
         for _, level in self.levels:
-            hits = hits.union(new.join(level.select("key"), "key", "left_semi"))
-            hits = hits.union(level.join(new.select("key"), "key", "left_semi"))
+            seen = seen.union(level.select("key", "n", F.lit(False).alias("fresh")))
+        totals = seen.groupBy("key").agg(F.sum("n").alias("total"), F.max("fresh").alias("fresh"))
+        self.hits.append(stored(totals.where("total > 1 AND fresh").select("key"), "hits"))
         self.levels.append((1, new))
-        return store(hits, "hits")
+        self.paths.append(path)
+        self.merge()
 
     def merge(self) -> None:
-        """Merge the last two levels while they hold equally many batches."""
-        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
-            (size, new), (_, old) = self.levels.pop(), self.levels.pop()
-            both = old.union(new).groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min("entry").alias("entry"))
-            self.levels.append((2 * size, store(both, "suffixes")))
+        """Merge the last levels while two hold equally many batches: one pass over all that end up in one level."""
+        if not self.levels:
+            return
+        first, size = len(self.levels) - 1, self.levels[-1][0]
+        while first > 0 and self.levels[first - 1][0] == size:
+            first, size = first - 1, 2 * size
+        if first == len(self.levels) - 1:
+            return
+        level, path = stored(self.summed([level for _, level in self.levels[first:]]), "suffixes")
+        discard(level.sparkSession, self.paths[first:])
+        self.levels[first:], self.paths[first:] = [(size, level)], [path]
+
+    @staticmethod
+    def summed(levels: list[DataFrame]) -> DataFrame:
+        rows = reduce(DataFrame.union, levels)
+        return rows.groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min("entry").alias("entry"))
+
+    def known(self) -> DataFrame:
+        """(key, whole, n, entry) of all suffixes whose first bytes occur more than once."""
+        keys = reduce(DataFrame.union, [found for found, _ in self.hits])
+        return self.summed([level.join(keys, "key", "left_semi") for _, level in self.levels])
+
+    def discard(self) -> None:
+        if self.levels:
+            discard(self.levels[0][1].sparkSession, [*self.paths, *(path for _, path in self.hits)])
+        self.levels, self.paths, self.hits = [], [], []
 
 
 def window_digests(body: bytes, length: int) -> list[bytes]:
@@ -191,18 +220,21 @@ def repeated_windows(entries: DataFrame, texts: DataFrame, length: int) -> DataF
     return dealt.mapInArrow(compare, "doc_id long, text_hash long, first int, last int")
 
 
+def batches_for(texts: DataFrame, batch_bytes: int) -> int:
+    """How many batches of about ``batch_bytes`` bytes of text there are, ``LEAST_BATCHES`` at least."""
+    total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(LEAST_BATCHES, -(-total // batch_bytes))
+
+
 def repeats(texts: DataFrame, length: int, batches: int) -> DataFrame:
     """(doc_id, text_hash, first, last): runs of starts of windows that occur elsewhere too."""
     runs = runs_of(texts, length).withColumn("batch", F.pmod("text_hash", F.lit(batches)).cast("int"))
     runs = store(runs, "runs", by="batch")
     family = IndexFamily()
-    hits = None
     for b in range(batches):
-        found = family.add(runs.where(F.col("batch") == b))
-        hits = found if hits is None else hits.union(found)
-    known = hits.groupBy("key", "whole").agg(F.max("n").alias("n"), F.min("entry").alias("entry"), F.max("entry").alias("other"))
-    known = known.select("key", "whole", "entry", ((F.col("n") > 1) | (F.col("entry") != F.col("other"))).alias("twice"))
-    known = store(known, "known")
+        family.add(runs.where(F.col("batch") == b))
+    known = store(family.known().select("key", "whole", "entry", (F.col("n") > 1).alias("twice")), "known")
+    family.discard()
     whole = runs.join(known.where("twice").select("key", "whole"), ["key", "whole"], "left_semi")
     sizes = known.groupBy("key").agg(F.count("*").alias("group_size")).where("group_size > 1")
     some = repeated_windows(known.join(sizes, "key").select("key", "group_size", "entry"), texts, length)
@@ -220,10 +252,13 @@ def union_of(starts: list[dict], length: int) -> list[tuple[int, int]]:
     return [tuple(r) for r in out]
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, batches: int = 2) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row; ``kept`` is what remains, as bytes."""
+def remove_repeats(docs: DataFrame, length: int = 400, batches: int | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row; ``kept`` is what remains, as bytes.
+
+    Without ``batches`` their number follows the input, by ``batch_bytes``.
+    """
     texts = keyed(docs)
-    found = repeats(texts, length, batches)
+    found = repeats(texts, length, batches or batches_for(texts, batch_bytes))
     found = found.groupBy(F.col("doc_id").alias("f_id"), F.col("text_hash").alias("f_hash")).agg(F.collect_set(F.struct("first", "last")).alias("starts"))
     rows = texts.join(store(found, "repeats"), same(F.col("doc_id"), F.col("f_id")) & (F.col("text_hash") == F.col("f_hash")), "left")
 

@@ -3,10 +3,12 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 from regional_balance.llm import suffix_index, suffixes
+from regional_balance.llm.queries import QUERIES
 
 
 def expected(rows, length):
@@ -92,3 +94,38 @@ def test_levels_merge_geometrically(spark):
         family.add(runs)
     family.merge()
     assert [(size, level.count()) for size, level in family.levels] == [(4, 4), (2, 2), (1, 1)]
+
+
+def test_the_query_merges_levels(spark, sf, listed, monkeypatch):
+    merged, merge = [], suffix_index.IndexFamily.merge
+
+    def watched(family):
+        before = len(family.levels)
+        merge(family)
+        if len(family.levels) < before:
+            merged.append(family.levels[-1][0])
+
+    monkeypatch.setattr(suffix_index.IndexFamily, "merge", watched)
+    rows = QUERIES["op5_suffix_index"](spark, sf).collect()
+    assert merged == [2, 4]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == expected(listed(docs), 400)
+
+
+def test_batches_follow_the_input(spark):
+    texts = spark.createDataFrame([("é" * 500,), ("a" * 1500,)], "text string")
+    assert suffix_index.batches_for(texts, 500) == 5
+    assert suffix_index.batches_for(texts, 10_000) == suffix_index.batches_for(texts.limit(0), 500) == 4
+
+
+def test_merged_levels_leave_no_files(spark):
+    family = suffix_index.IndexFamily()
+    gone = []
+    for b in range(4):
+        runs = spark.createDataFrame([(b, b, 0, 0, 7, b % 2)], "doc_id long, text_hash long, first int, last int, key long, whole long")
+        family.add(runs)
+        gone += [p for p in family.paths if p not in gone]
+    path = lambda p: Path(p.removeprefix("file:"))
+    assert [size for size, _ in family.levels] == [4] and len(gone) == 4
+    assert [path(p).exists() for p in gone] == [p in family.paths for p in gone]
+    assert sorted((r.key, r.whole, r.n) for r in family.known().collect()) == [(7, 0, 2), (7, 1, 2)]
