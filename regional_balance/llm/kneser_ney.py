@@ -11,7 +11,8 @@ the corpus, seen in trusted text or not. If that table has at most ``most_broadc
 are scored in the scan; beyond, the n-grams of each document are joined to it. Both give the same sums.
 
 A document is kept if its perplexity is at most the language's threshold: a quantile over the trusted documents of
-the language, times a margin. Null text counts as empty (the end mark alone); null languages are one language. Where a
+the language, each judged by a model that has not seen its text (of the other folds), or by the model itself where all
+trusted texts of a language fall in one fold. Null text counts as empty (the end mark alone); null languages are one language. Where a
 language has no trusted text there is no model: perplexity and threshold are null and documents are kept. Repeated rows
 are scored alike. A trusted row repeated in the labels counts once.
 """
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from regional_balance.llm.common import slices, store, text_column
 
 ORDER = 4
+#: Parts of the trusted text that are held out in turn to find the thresholds; a digit names one.
+FOLDS = 2
 START, END, OTHER = 2, 3, 0xFFFF
 #: Discounts estimated from counts of counts stay above this, so that no probability is zero.
 LEAST_DISCOUNT = 0.1
@@ -225,19 +228,42 @@ def scored_by_join(rows: DataFrame, table: DataFrame) -> DataFrame:
     return sums.select("doc_id", "lang", "trusted", (F.col("n") / F.col("copies")).cast("long").alias("n"), (F.col("logp") / F.col("copies")).alias("logp"), each.alias("copy")).drop("copy")
 
 
+def scored(rows: DataFrame, most_broadcast: int) -> DataFrame:
+    """(doc_id, lang, trusted, n_grams, perplexity) of labelled rows, lang as there, by the model of their trusted ones."""
+    table = store(log_probabilities(store(counted(rows), "counts")), "model")
+    found = scored_in_scan(rows, table) if table.count() <= most_broadcast else scored_by_join(rows, table)
+    return found.select("doc_id", "lang", "trusted", F.col("n").alias("n_grams"), F.exp(-F.col("logp") / F.col("n")).alias("perplexity"))
+
+
+def language() -> Column:
+    """The language that ``labelled`` names."""
+    return F.when(F.col("lang") != "", F.substring("lang", 2, 1 << 30)).alias("lang")
+
+
 def perplexities(docs: DataFrame, trusted: DataFrame, most_broadcast: int = 4_000_000) -> DataFrame:
     """(doc_id, lang, trusted, n_grams, perplexity) of every row; ``trusted`` holds the doc_ids of trusted documents."""
-    rows = labelled(docs, trusted, most_broadcast)
-    table = store(log_probabilities(store(counted(rows), "counts")), "model")
-    scored = scored_in_scan(rows, table) if table.count() <= most_broadcast else scored_by_join(rows, table)
-    lang = F.when(F.col("lang") != "", F.substring("lang", 2, 1 << 30)).alias("lang")
-    return scored.select("doc_id", lang, "trusted", F.col("n").alias("n_grams"), F.exp(-F.col("logp") / F.col("n")).alias("perplexity"))
+    rows = scored(labelled(docs, trusted, most_broadcast), most_broadcast)
+    return rows.select("doc_id", language(), "trusted", "n_grams", "perplexity")
+
+
+def held_out(rows: DataFrame, most_broadcast: int) -> DataFrame:
+    """(lang, perplexity) of the trusted rows, each by a model of those in the other folds; equal texts share a fold."""
+    folds = F.explode(F.sequence(F.lit(0), F.lit(FOLDS - 1))).alias("fold")
+    dealt = rows.where("trusted").select("doc_id", "text_hash", "lang", "text", folds)
+    lang = F.concat(F.col("fold").cast("string"), "lang").alias("lang")
+    teaches = (F.pmod("text_hash", F.lit(FOLDS)) != F.col("fold")).alias("trusted")
+    found = scored(dealt.select("doc_id", "text_hash", lang, teaches, "text"), most_broadcast)
+    return found.where("NOT trusted").select(F.substring("lang", 2, 1 << 30).alias("lang"), "perplexity")
 
 
-def classify(docs: DataFrame, trusted: DataFrame, quantile: float = 0.99, margin: float = 1.5, most_broadcast: int = 4_000_000) -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, quantile: float = 0.99, most_broadcast: int = 4_000_000) -> DataFrame:
     """(doc_id, lang, n_grams, perplexity, threshold, kept) of every row."""
-    rows = store(perplexities(docs, trusted, most_broadcast), "perplexities")
-    edges = rows.where("trusted").groupBy(F.col("lang").alias("t_lang")).agg((F.percentile_approx("perplexity", quantile, 100_000) * margin).alias("threshold"))
-    rows = rows.join(edges, F.col("lang").eqNullSafe(F.col("t_lang")), "left")
+    labels = labelled(docs, trusted, most_broadcast)
+    rows = store(scored(labels, most_broadcast), "perplexities")
+    edge = F.percentile_approx("perplexity", quantile, 100_000)
+    fair = store(held_out(labels, most_broadcast), "held_out").groupBy(F.col("lang").alias("h_lang")).agg(edge.alias("held"))
+    edges = rows.where("trusted").groupBy(F.col("lang").alias("t_lang")).agg(edge.alias("seen"))
+    edges = edges.join(fair, F.col("t_lang") == F.col("h_lang"), "left").select("t_lang", F.coalesce("held", "seen").alias("threshold"))
+    rows = rows.join(edges, F.col("lang") == F.col("t_lang"), "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    return rows.select("doc_id", "lang", "n_grams", "perplexity", "threshold", kept.alias("kept"))
+    return rows.select("doc_id", language(), "n_grams", "perplexity", "threshold", kept.alias("kept"))

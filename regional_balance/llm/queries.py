@@ -42,7 +42,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_kneser_ney")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = read(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
-    return kneser_ney.classify(read(spark, sf_dir), trusted, quantile=0.99, margin=1.5)
+    return kneser_ney.classify(read(spark, sf_dir), trusted, quantile=0.99)
 
 
 @query("op5_suffix_index")

@@ -101,3 +101,25 @@ def test_held_out_labels(spark, sf):
     bad = [r.kept for r in rows if r.quality == 0]
     assert sum(good) >= 0.97 * len(good)
     assert sum(bad) <= 0.4 * len(bad)
+
+
+def test_threshold_is_the_quantile_of_held_out_texts(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    good = docs.join(labels.where("quality = 1 AND toxic = 0"), "doc_id").selectExpr("doc_id", f"pmod(xxhash64(text), {kn.FOLDS}) AS fold").cache()
+    found = {}
+    for f in range(kn.FOLDS):
+        for r in kn.perplexities(docs, good.where(f"fold <> {f}")).join(good.where(f"fold = {f}"), "doc_id").collect():
+            found.setdefault(r.lang, []).append(r.perplexity)
+    edges = {r.lang: r.threshold for r in kn.classify(docs, good, quantile=0.9).collect()}
+    for lang, own in found.items():
+        assert edges[lang] == pytest.approx(sorted(own)[math.ceil(0.9 * len(own)) - 1], rel=1e-9)
+
+
+def test_rates_on_unseen_labels(spark, sf):
+    folder = sf.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    trusted = labels.where("quality = 1 AND toxic = 0 AND doc_id % 2 = 0").select("doc_id")
+    rows = kn.classify(docs, trusted).join(labels, "doc_id").where("doc_id % 2 = 1").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert sum(good) >= 0.98 * len(good)
+    assert sum(bad) <= 0.25 * len(bad)
