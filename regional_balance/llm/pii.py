@@ -5,7 +5,8 @@ of text between them (``regexp_extract_all`` and ``split`` walk the text alike)
 running sum over the matches.
 
 Base kinds stand by their own checks alone. Further kinds need a score of ``threshold``: a prior, more if a checksum
-holds, more if a context word is within 40 characters. A null text has no spans; empty texts, ties and repeated rows
+holds, more if a context word is within 40 characters of the text before or after, other matches
+included. A null text has no spans; empty texts, ties and repeated rows
 need no care, since each row is judged by itself.
 """
 
@@ -118,7 +119,7 @@ def spans_of(text: Column, found: Column, kind: Kind, threshold: float) -> Colum
     """Array of (kind, start, end, score) of the matches that stand; ``found`` are the matches in order."""
     n = F.size(found)
     gaps = F.split(text, kind.pattern, -1)
-    pieces = F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), n).alias("before"), F.slice(gaps, F.lit(2), n).alias("after"))
+    pieces = F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), n).alias("before"))
     span = "struct<kind:string,start:int,end:int,score:double>"
     empty = F.array().cast(f"array<{span}>")
     state = F.struct(F.lit(0).alias("at"), empty.alias("run"), F.array().cast(f"array<array<{span}>>").alias("full"))
@@ -126,11 +127,13 @@ def spans_of(text: Column, found: Column, kind: Kind, threshold: float) -> Colum
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["before"])
         end = start + F.length(x["found"])
+        confirmed = F.lit(True) if kind.confirm is None else kind.confirm(x["found"])
         score = F.lit(kind.prior)
         if kind.context:
-            near = F.concat_ws(" ", F.right(x["before"], F.lit(CONTEXT_CHARS)), F.left(x["after"], F.lit(CONTEXT_CHARS)))
-            score = score + F.when(F.lower(near).rlike(rf"\b(?:{kind.context})"), CONTEXT_SCORE).otherwise(0.0)
-        stands = F.lit(True) if kind.confirm is None else kind.confirm(x["found"])
+            from_left = F.substr(text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT_CHARS)))
+            near = F.concat_ws(" ", from_left, F.substr(text, end + 1, F.lit(CONTEXT_CHARS)))
+            score = score + F.when(confirmed & F.lower(near).rlike(rf"\b(?:{kind.context})"), CONTEXT_SCORE).otherwise(0.0)
+        stands = confirmed
         if not kind.base:
             stands = stands & (score >= threshold)
         one = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))

@@ -84,3 +84,18 @@ def test_mask(spark):
     assert got[2].text is None and got[3].text == "nothing" and got[3].all_spans == 7
     assert "9239" not in got[4].text and "x.com" not in got[4].text
     assert pii.mask(df.limit(0)).columns == df.columns
+
+
+@pytest.mark.parametrize(
+    "text, spans",
+    [
+        ("SSN: 536-22-1234, 536-22-1235", "national_id:5:16,national_id:18:29"),
+        ("SSN: 536-22-1234, 536-22-1235, 536-22-1236", "national_id:5:16,national_id:18:29,national_id:31:42"),
+        ("536-22-1234, 536-22-1235 (SSN)", "national_id:0:11,national_id:13:24"),
+        ("amex: 378282246310005, 371449635398431", "short_card:6:21,short_card:23:38"),
+        ("SSN 😀 536-22-1234" + " " * 41 + "536-22-1235", "national_id:6:17"),
+    ],
+)
+def test_context_reaches_past_other_matches(spark, text, spans):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.find_personal_data(df).first().spans == spans
