@@ -63,6 +63,27 @@ def mod_97(found: Column) -> Column:
     return F.length(plain).between(15, 34) & (F.aggregate(letters, F.lit(0), add) == 1)
 
 
+#: Characters of an IBAN by country, without spaces.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """As many characters as the country has, so that following words stay out; for codes not listed as many as follow."""
+
+    def groups(n: int) -> str:
+        return f"(?: ?[A-Z0-9]{{4}}){{{n // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+
+    known = [f"(?:{codes.replace(' ', '|')})[0-9]{{2}}{groups(n - 4)}" for n, codes in IBAN_LENGTHS.items()]
+    listed = "|".join(codes.replace(" ", "|") for codes in IBAN_LENGTHS.values())
+    other = f"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(known)}|{other})(?![A-Za-z0-9])"
+
+
 @dataclass(frozen=True)
 class Kind:
     """What ``confirm`` does not hold for is no span. Patterns are possessive where they could go back: linear time."""
@@ -92,7 +113,7 @@ BASE = [
 FURTHER = [
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        iban_pattern(),
         mod_97,
         prior=0.7,
         context="iban|account|bank|konto|compte|cuenta",

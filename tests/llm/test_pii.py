@@ -99,3 +99,19 @@ def test_mask(spark):
 def test_context_reaches_past_other_matches(spark, text, spans):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert pii.find_personal_data(df).first().spans == spans
+
+
+@pytest.mark.parametrize(
+    "text, spans",
+    [
+        ("AT61 1904 3002 3457 3201 BIC", "iban:0:24"),
+        ("BE68 5390 0754 7034 EUR", "iban:0:19"),
+        ("BE68539007547034 2024", "iban:0:16"),
+        ("NO93 8601 1117 947 NOK", "iban:0:18"),
+        ("BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00", "iban:0:19,iban:20:47"),
+        ("BE68 5390 0754 7035 EUR", ""),
+    ],
+)
+def test_iban_before_other_words(spark, text, spans):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.find_personal_data(df).first().spans == spans
