@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from regional_balance.llm import bpe, fingerprints, kneser_ney, mixing, pii, quality_rules, simhash, suffix_index, token_counts, token_files
+from regional_balance.llm import alignment, bpe, fingerprints, kneser_ney, mixing, pii, quality_rules, simhash, suffix_index, token_counts, token_files
 from regional_balance.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(read(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align_tokenizers(read(spark, sf_dir), *paths)
