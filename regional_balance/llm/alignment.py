@@ -5,9 +5,10 @@ drives, and each of its offsets is found in the longer one by steps of doubling
 last step. Common offsets cut the tokens into groups (the ranks of two successive common offsets bound a slice of either
 list), and the last tokens of a group end together: they are linked.
 
-Texts are read in units that neither tokenizer's tokens cross (``units``), and a unit that has been aligned before in
-the same worker is taken from a table of fixed size. That saves time and changes no result: where one of the two files
-does not promise such units, or a unit's tokens don't give back its bytes, the whole text goes to the libraries at once.
+Texts are read in units that neither tokenizer's tokens cross, and a unit that has been aligned before in the same worker is
+taken from a table of fixed size. That saves time and changes no result: where one of the two files does not promise such
+units, or a unit's tokens don't give back its bytes, the whole text goes to the libraries at once. Byte-level units are
+encoded by rank where the file's merges are in the order of their ids (which is checked), else by the file's library.
 
 Corpus counts are made in Spark. A task folds the id pairs of some megabytes of text (a chunk) before anything is shuffled;
 pairs are counted, joined back to the chunks by key, and each chunk adds up its documents. A chunk is one row of bounded
@@ -24,12 +25,15 @@ import functools
 import hashlib
 import json
 import re
+from array import array
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,12 +44,24 @@ from regional_balance.llm.common import slices, stored, text_column, texts
 #: Characters of text whose pairs are folded together before they leave a task.
 CHUNK_CHARS = 4 << 20
 
-#: Units remembered by a worker, and the longest that is.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 48
+#: Units remembered by a worker (those of the last such number, and of the one before), and the longest that is.
+REMEMBERED, REMEMBERED_CHARS = 250_000, 48
+
+#: Characters that definitions of white space differ on: texts with them go to the file's own library.
+_UNSURE = re.compile("[\x1c-\x1f\x85]")
+
+#: The split of a byte-level pre-tokenizer (fixed value).
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Before a space that follows a visible character.
 _UNIT = re.compile(r"(?<=\S)(?= )")
 
+#: A space after white space: without one, and without one at the start, units are what single spaces part.
+_SPACED = re.compile(r"\s ")
+
+#: Bits for each of the counts that one number holds.
+PLACE = 48
+
 _CHUNK = "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, digest array<string>, links binary, keys array<long>, times array<long>"
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -53,19 +69,21 @@ _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 def gallop(shorter: Sequence[int], longer: Sequence[int]) -> list[tuple[int, int]]:
     """(rank in the shorter list, rank in the longer one) of every value of both; the lists ascend strictly."""
     found, at, n = [], 0, len(longer)
+    if not n:
+        return found
     for rank, value in enumerate(shorter):
-        step = 1
-        high = at
-        while high < n and longer[high] < value:
-            at = high + 1
-            high += step
-            step <<= 1
-        at = bisect_left(longer, value, at, min(high, n))
-        if at == n:
-            break
+        if longer[at] < value:
+            step, low = 1, at + 1
+            high = low
+            while high < n and longer[high] < value:
+                low = high + 1
+                high += step
+                step <<= 1
+            at = low if low == high else bisect_left(longer, value, low, min(high, n))
+            if at == n:
+                break
         if longer[at] == value:
             found.append((rank, at))
-            at += 1
     return found
 
 
@@ -100,6 +118,7 @@ class Aligner:
         self.bytes_b = [
             bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)
         ]
+        self.names = list(map(str, range(1 + max(len(names), *self.bytes_a))))
         # Units hold if the first splits words as byte-level files do, and the second neither changes text nor has a
         # piece with a space after another character.
         split = spec.get("pre_tokenizer") or {}
@@ -108,61 +127,116 @@ class Aligner:
         keeps = self.b.decode(self.b.encode(probe)) == probe and self._joined(self.b.encode(probe)) == f" {probe}".encode()
         within = not any("▁" in name.lstrip("▁") for name in names)
         self.in_units = bool(splits and spec.get("normalizer") is None and keeps and within)
+        self.by_rank = self._by_rank(spec.get("model", {}), vocabulary) if self.in_units else None
         self.seen: dict[str, tuple] = {}
+        self.before: dict[str, tuple] = {}
+
+    def _by_rank(self, model: dict, vocabulary: dict[str, int]) -> tiktoken.Encoding | None:
+        """The same encoder by rank, if merges come in the order of the ids they make and nothing else is set."""
+        merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model.get("merges", [])]
+        plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        if not (plain and merged) or [vocabulary.get(m) for m in merged] != list(range(256, 256 + len(merged))):
+            return None
+        ranks = {token: i for i, token in self.bytes_a.items() if i < 256 + len(merged)}
+        return tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def _joined(self, ids: Sequence[int]) -> bytes:
         return b"".join([self.bytes_b[i] for i in ids])
 
-    def align(self, spaced: str) -> tuple | None:
-        """(tokens of a, tokens of b, groups, groups as text, linked pairs as a << 32 | b) of a text that starts with a
-        space; None if the tokens of either do not give back its bytes."""
-        ids_a = self.a.encode(spaced, add_special_tokens=False).ids
-        ids_b = self.b.encode(spaced[1:], num_threads=1)
-        raw = spaced.encode()
-        parts_a, parts_b = [self.bytes_a.get(i, b"") for i in ids_a], [self.bytes_b[i] for i in ids_b]
+    def _first(self, spaced: str) -> list[int]:
+        if self.by_rank is not None and not _UNSURE.search(spaced):
+            return self.by_rank.encode_ordinary(spaced)
+        return self.a.encode(spaced, add_special_tokens=False).ids
+
+    def groups(self, spaced: str) -> tuple[list[tuple[int, int]], list[int], list[int], list[int]] | None:
+        """((rank in a, rank in b) of the last tokens of each group, ids of a, ids of b, byte ends of a) of a text that starts
+        with a space; None if the tokens of either do not give back its bytes."""
+        ids_a, ids_b = self._first(spaced), self.b.encode(spaced[1:], num_threads=1)
+        raw, of_a, of_b = spaced.encode(), self.bytes_a, self.bytes_b
+        parts_a, parts_b = [of_a.get(i, b"") for i in ids_a], [of_b[i] for i in ids_b]
         if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
             return None
-        ends_a, ends_b = np.cumsum([len(p) for p in parts_a]).tolist(), np.cumsum([len(p) for p in parts_b]).tolist()
-        groups, pairs, last_a, last_b = [], [], 0, 0
-        for rank_a, rank_b in common_ends(ends_a, ends_b):
-            of_a, of_b = ids_a[last_a : rank_a + 1], ids_b[last_b : rank_b + 1]
-            groups.append(f"{','.join(map(str, of_a))}|{','.join(map(str, of_b))}")
-            pairs.append(of_a[-1] << 32 | of_b[-1])
-            last_a, last_b = rank_a + 1, rank_b + 1
-        return len(ids_a), len(ids_b), len(groups), ";".join(groups), pairs
-
-    def units(self, spaced: str) -> list[tuple] | None:
-        """Alignments of successive units of a text; None if a unit's tokens do not give back its bytes."""
-        out, seen = [], self.seen
-        for unit in _UNIT.split(spaced):
-            got = seen.get(unit)
+        ends_a, ends_b = list(accumulate(map(len, parts_a))), list(accumulate(map(len, parts_b)))
+        return common_ends(ends_a, ends_b), ids_a, ids_b, ends_a
+
+    def align(self, spaced: str, ends: Sequence[int]) -> list[tuple] | None:
+        """(counts, groups as text, linked pairs) of each part of a text that ends at one of the byte ``ends``, which both
+        tokenizers' tokens keep to; None if the tokens of either do not give back the bytes. Counts are tokens of a, tokens of
+        b and groups in one number, ``PLACE`` apart; pairs are a << 32 | b as little-endian 64-bit integers."""
+        found = self.groups(spaced)
+        if found is None:
+            return None
+        met, ids_a, ids_b, ends_a = found
+        names_a, names_b = self.names, self.names
+        out, texts, pairs, k, last_a, last_b, first_a, first_b = [], [], array("q"), 0, 0, 0, 0, 0
+        for rank_a, rank_b in met:
+            next_a, next_b = rank_a + 1, rank_b + 1
+            if next_a - last_a == 1 and next_b - last_b == 1:
+                texts.append(f"{names_a[ids_a[rank_a]]}|{names_b[ids_b[rank_b]]}")
+            else:
+                of_a, of_b = [names_a[i] for i in ids_a[last_a:next_a]], [names_b[i] for i in ids_b[last_b:next_b]]
+                texts.append(f"{','.join(of_a)}|{','.join(of_b)}")
+            pairs.append(ids_a[rank_a] << 32 | ids_b[rank_b])
+            last_a, last_b = next_a, next_b
+            if ends_a[rank_a] == ends[k]:
+                counts = (next_a - first_a) + ((next_b - first_b) << PLACE) + (len(texts) << 2 * PLACE)
+                out.append((counts, ";".join(texts), pairs.tobytes()))
+                texts, pairs, k, first_a, first_b = [], array("q"), k + 1, next_a, next_b
+        return out if k == len(ends) else None
+
+    def learn(self, units: Iterable[str]) -> dict[str, tuple | None]:
+        """Alignments of units (without the space that each starts with), taken from those seen before if they are; the others
+        go to the tokenizers as one text, if they can."""
+        if len(self.seen) >= REMEMBERED:
+            self.before, self.seen = self.seen, {}
+        out, fresh, alone = {}, [], []
+        for unit in units:
+            got = self.seen.get(unit)
             if got is None:
-                got = self.align(unit)
+                got = self.before.get(unit)
                 if got is None:
-                    return None
-                if len(unit) <= REMEMBERED_CHARS:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen[unit] = got
-            out.append(got)
+                    # A unit of nothing but its space, or that ends in white space, would run into the next.
+                    (fresh if unit and not unit[-1].isspace() else alone).append(unit)
+                    continue
+                self.seen[unit] = got
+            out[unit] = got
+        if fresh:
+            ends = list(accumulate([len(u.encode()) + 1 for u in fresh]))
+            found = None if _UNSURE.search("".join(fresh)) else self.align(" " + " ".join(fresh), ends)
+            if found is None:
+                alone += fresh
+            else:
+                out.update(zip(fresh, found, strict=True))
+                self.seen.update((u, got) for u, got in zip(fresh, found, strict=True) if len(u) <= REMEMBERED_CHARS)
+        for unit in alone:
+            found = self.align(f" {unit}", [len(unit.encode()) + 1])
+            out[unit] = got = found[0] if found else None
+            if got is not None and len(unit) <= REMEMBERED_CHARS:
+                self.seen[unit] = got
         return out
 
-    def document(self, text: str) -> tuple[int, int, int, str, list[int]]:
-        """(tokens of a, of b, groups, digest of the groups, linked pairs) of a text."""
-        parts = None
-        if text:
-            spaced = f" {text}"
-            parts = self.units(spaced) if self.in_units else None
-            if parts is None:
-                whole = self.align(spaced)
-                parts = [whole] if whole else None
+    def documents(self, texts: Sequence[str]) -> list[tuple[int, int, int, str, bytes]]:
+        """(tokens of a, of b, groups, digest of the groups, linked pairs) of texts."""
+        cut = [self._units(t) if t and self.in_units else [] for t in texts]
+        known = self.learn({u for units in cut for u in units})
+        return [self._document(t, [known[u] for u in units]) for t, units in zip(texts, cut, strict=True)]
+
+    @staticmethod
+    def _units(text: str) -> list[str]:
+        """Units of a space and a text, each without its first space."""
+        if _SPACED.search(text) is None and text[0] != " ":
+            return text.split(" ")
+        return [u[1:] for u in _UNIT.split(f" {text}")]
+
+    def _document(self, text: str, parts: list[tuple | None]) -> tuple[int, int, int, str, bytes]:
+        if text and (not parts or None in parts):
+            parts = self.align(f" {text}", [len(text.encode()) + 1]) or []
         if not parts:
-            return 0, 0, 0, "", []
-        digest = hashlib.sha256(";".join([p[3] for p in parts]).encode()).hexdigest()
-        pairs: list[int] = []
-        for p in parts:
-            pairs += p[4]
-        return sum([p[0] for p in parts]), sum([p[1] for p in parts]), sum([p[2] for p in parts]), digest, pairs
+            return 0, 0, 0, "", b""
+        counts, groups, pairs = zip(*parts, strict=True)
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+        total, low = sum(counts), (1 << PLACE) - 1
+        return total & low, total >> PLACE & low, total >> 2 * PLACE, digest, b"".join(pairs)
 
 
 @functools.cache
@@ -176,7 +250,7 @@ def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
 
     def fold(chunk: int, ids: list, found: list[tuple]) -> pa.RecordBatch:
-        pairs = np.array([p for f in found for p in f[4]], np.int64)
+        pairs = np.frombuffer(b"".join([f[4] for f in found]), np.int64)
         keys, places, times = np.unique(pairs, return_inverse=True, return_counts=True)
         columns = [ids, *([f[k] for f in found] for k in (0, 1, 2, 3)), places.astype("<u4").tobytes(), keys, times]
         types = [*[pa.list_(pa.int64())] * 4, pa.list_(pa.string()), pa.binary(), *[pa.list_(pa.int64())] * 2]
@@ -187,10 +261,11 @@ def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         work = aligner(byte_level, pieces)
         chunk = TaskContext.get().partitionId() << 32
         ids, found, size = [], [], 0
-        for batch in slices(batches, 64):
-            for key, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+        for batch in slices(batches, 256):
+            values = texts(batch)
+            for key, text, got in zip(batch.column("doc_id").to_pylist(), values, work.documents(values), strict=True):
                 ids.append(key)
-                found.append(work.document(text))
+                found.append(got)
                 size += len(text)
                 if size >= CHUNK_CHARS:
                     yield fold(chunk, ids, found)

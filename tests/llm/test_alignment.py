@@ -93,13 +93,22 @@ TRICKY = ["", " ", "  a", "a  ", "\n \t x", "a▁b", "it's 12 34", "x\x1c y\x85
 @settings(max_examples=150, deadline=None)
 def test_units_are_whole_texts(libraries, text):
     work = alignment.aligner(BYTES, PIECES)
-    assert work.in_units
-    n_a, n_b, n_groups, digest, pairs = work.document(text)
+    assert work.in_units and work.by_rank is not None
+    [(n_a, n_b, n_groups, digest, pairs)] = work.documents([text])
     [(_, *want)] = brute([(0, text)], libraries)
-    assert [n_a, n_b, n_groups, len(pairs), digest] == [*want[:3], want[3], want[-1]]
+    assert [n_a, n_b, n_groups, len(pairs) // 8, digest] == [*want[:3], want[3], want[-1]]
 
 
 def test_long_text_without_spaces(libraries):
     work = alignment.aligner(BYTES, PIECES)
     [(_, *want)] = brute([(0, "x" * 60_000)], libraries)
-    assert work.document("x" * 60_000)[3] == want[-1]
+    assert work.documents(["x" * 60_000])[0][3] == want[-1]
+
+
+def test_remembered_units_change_nothing(documents, libraries, listed, monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 50)
+    rows = listed(documents)[:40]
+    work = alignment.Aligner(BYTES, PIECES)
+    got = [work.documents([text or ""])[0] for _, text in rows]
+    want = {r[0]: r for r in brute([(i, text) for i, (_, text) in enumerate(rows)], libraries)}
+    assert [(g[0], g[1], g[2], g[3]) for g in got] == [(want[i][1], want[i][2], want[i][3], want[i][7]) for i in range(len(rows))]
