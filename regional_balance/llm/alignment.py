@@ -42,10 +42,10 @@ from tokenizers import Tokenizer
 from regional_balance.llm.common import slices, stored, text_column, texts
 
 #: Characters of text whose pairs are folded together before they leave a task.
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 2 << 20
 
 #: Units remembered by a worker (those of the last such number, and of the one before), and the longest that is.
-REMEMBERED, REMEMBERED_CHARS = 250_000, 48
+REMEMBERED, REMEMBERED_CHARS = 120_000, 48
 
 #: Characters that definitions of white space differ on: texts with them go to the file's own library.
 _UNSURE = re.compile("[\x1c-\x1f\x85]")
@@ -107,12 +107,9 @@ class Aligner:
     def __init__(self, byte_level: str, pieces: str):
         with open(byte_level, encoding="utf-8") as file:
             spec = json.load(file)
-        self.a = Tokenizer.from_file(byte_level)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        self.path = byte_level
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        alphabet, vocabulary = byte_alphabet(), self.a.get_vocab()
+        alphabet, vocabulary = byte_alphabet(), spec["model"]["vocab"]
         self.bytes_a = {i: bytes(alphabet[c] for c in t) for t, i in vocabulary.items() if all(c in alphabet for c in t)}
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
@@ -131,6 +128,15 @@ class Aligner:
         self.seen: dict[str, tuple] = {}
         self.before: dict[str, tuple] = {}
 
+    @functools.cached_property
+    def library(self) -> Tokenizer:
+        """The first file's own library, loaded when a text needs it."""
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        out.encode_special_tokens = True
+        return out
+
     def _by_rank(self, model: dict, vocabulary: dict[str, int]) -> tiktoken.Encoding | None:
         """The same encoder by rank, if merges come in the order of the ids they make and nothing else is set."""
         merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model.get("merges", [])]
@@ -146,7 +152,7 @@ class Aligner:
     def _first(self, spaced: str) -> list[int]:
         if self.by_rank is not None and not _UNSURE.search(spaced):
             return self.by_rank.encode_ordinary(spaced)
-        return self.a.encode(spaced, add_special_tokens=False).ids
+        return self.library.encode(spaced, add_special_tokens=False).ids
 
     def groups(self, spaced: str) -> tuple[list[tuple[int, int]], list[int], list[int], list[int]] | None:
         """((rank in a, rank in b) of the last tokens of each group, ids of a, ids of b, byte ends of a) of a text that starts
