@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from regional_balance.llm import alignment, bpe, fingerprints, kneser_ney, mixing, pii, quality_rules, simhash, suffix_index, token_counts, token_files
+from regional_balance.llm import (
+    alignment,
+    bpe,
+    conversation_trie,
+    fingerprints,
+    kneser_ney,
+    mixing,
+    pii,
+    prefix_forest,
+    quality_rules,
+    simhash,
+    suffix_index,
+    token_counts,
+    token_files,
+)
 from regional_balance.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +95,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return alignment.align_tokenizers(read(spark, sf_dir), *paths)
+
+
+@query("op12_prefix_forest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest_vectors(read(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query("op13_conversation_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = conversation_trie.turn_lists(read(spark, sf_dir, "conversations"))
+    rebuilt = conversation_trie.with_shared_heads(lists, every=5, below=9)
+    return conversation_trie.trie_nodes(conversation_trie.keys(rebuilt))
