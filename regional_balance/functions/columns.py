@@ -41,11 +41,16 @@ def text_merge_key(c: Column) -> Column:
     return F.when(s.isNull() | (s == "") | (F.lower(s) == "nan"), F.lit("")).otherwise(key)
 
 
+def whole_digits(c: Column) -> Column:
+    """Digits of a whole double of any size: the fewest that tell it from its neighbours, then zeros."""
+    return F.format_string("%.0f", c + F.lit(0.0))
+
+
 def float_merge_key(c: Column) -> Column:
     """Region key of a floating column: whole numbers are written without exponent or ``.0``."""
-    whole = (c == F.rint(c)) & (F.abs(c) < F.lit(1e37))
-    digits = F.when(whole, c.try_cast(T.DecimalType(38, 0)).cast("string"))
-    return F.when(c.isNull() | F.isnan(c), F.lit("")).otherwise(F.upper(F.coalesce(digits, c.cast("string"))))
+    whole = (c == F.rint(c)) & (F.abs(c) < F.lit(_INF))
+    text = F.when(whole, whole_digits(c)).otherwise(F.upper(c.cast("string")))
+    return F.when(c.isNull() | F.isnan(c), F.lit("")).otherwise(text)
 
 
 def merge_key(df: DataFrame, name: str) -> Column:
@@ -167,13 +172,16 @@ def share_of_total(value: Column, total: Column) -> Column:
 def score_text(score: Column, decimals: int = 3, missing: str = "-") -> Column:
     """Fixed-point text, rounded from the exact binary value (``format_string`` rounds the shortest digits).
 
-    Whole and fractional part are both exact as doubles, and the fraction alone has digits to spare.
+    Whole and fractional part are both exact as doubles, and the fraction alone has digits to spare. From 2 ** 53 on there is
+    no fraction.
     """
     size = F.abs(score)
-    whole = F.floor(size).cast("double")
-    exact = whole.try_cast("decimal(38,18)") + (size - whole).try_cast("decimal(38,18)")
-    digits = F.bround(exact, decimals).try_cast(T.DecimalType(38, decimals)).cast("string")
-    plain = F.coalesce(digits, F.format_string(f"%.{decimals}f", size))
+    small = size < F.lit(2.0**53)
+    whole = F.when(small, F.floor(size)).cast("double")
+    exact = whole.cast("decimal(38,18)") + (size - whole).cast("decimal(38,18)")
+    digits = F.bround(exact, decimals).cast(T.DecimalType(38, decimals)).cast("string")
+    zeros = "." + "0" * decimals if decimals else ""
+    plain = F.when(small, digits).otherwise(F.concat(whole_digits(size), F.lit(zeros)))
     text = F.when(score < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
     return F.coalesce(F.when(score.isNotNull(), text), F.lit(missing))
 

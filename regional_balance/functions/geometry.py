@@ -87,6 +87,18 @@ def bbox(g: Column) -> Column:
     )
 
 
+def part_boxes(g: Column) -> Column:
+    """array<struct<x1,y1,x2,y2>>: the box of every part, from its outline."""
+
+    def box_of(ring: Column) -> Column:
+        xs, ys = F.transform(ring, lambda v: v["x"]), F.transform(ring, lambda v: v["y"])
+        return F.struct(
+            F.array_min(xs).alias("x1"), F.array_min(ys).alias("y1"), F.array_max(xs).alias("x2"), F.array_max(ys).alias("y2")
+        )
+
+    return F.transform(g["polygons"], lambda p: box_of(p[0]))
+
+
 def ring_edges(ring: Column) -> Column:
     """array<struct<x1,y1,x2,y2>> between successive vertices."""
     n = F.greatest(F.size(ring) - 1, F.lit(0))
@@ -103,7 +115,14 @@ def edges(g: Column) -> Column:
     return F.flatten(F.transform(rings(g), ring_edges))
 
 
-def _signed_area(ring: Column) -> Column:
+def strokes(g: Column) -> Column:
+    """``edges``, and for points an edge without length at each."""
+    spots = F.transform(vertices(g), lambda v: F.struct(v["x"].alias("x1"), v["y"].alias("y1"), v["x"].alias("x2"), v["y"].alias("y2")))
+    return F.when(g["kind"].isin(*POINTS), spots).otherwise(edges(g))
+
+
+def signed_area(ring: Column) -> Column:
+    """Area of a closed ring, negative if it runs clockwise."""
     # Relative to the first vertex: working-CRS coordinates are large and their products would cancel badly.
     o = ring[0]
     twice = F.aggregate(
@@ -119,8 +138,8 @@ def area(g: Column) -> Column:
 
     def of_polygon(rings_: Column) -> Column:
         holes = F.slice(rings_, F.lit(2), F.greatest(F.size(rings_) - 1, F.lit(0)))
-        hole_area = F.aggregate(holes, F.lit(0.0), lambda acc, r: acc + F.abs(_signed_area(r)))
-        return F.abs(_signed_area(rings_[0])) - hole_area
+        hole_area = F.aggregate(holes, F.lit(0.0), lambda acc, r: acc + F.abs(signed_area(r)))
+        return F.abs(signed_area(rings_[0])) - hole_area
 
     total = F.aggregate(g["polygons"], F.lit(0.0), lambda acc, p: acc + of_polygon(p))
     return F.when(g["kind"].isin(*LINES, *POINTS), F.lit(0.0)).otherwise(total)
@@ -161,6 +180,11 @@ def reproject(g: Column, srid: int = S.SRID_WORKING) -> Column:
         moved, source = _map_vertices(g, srid, inverse_x, inverse_y), S.SRID_WORKING
     else:
         raise ValueError(f"reproject knows {S.SRID_LONLAT} and {S.SRID_WORKING}, not {srid}")
+    # A single point, the commonest case, without walking nested arrays.
+    fx, fy = (mercator_x, mercator_y) if srid == S.SRID_WORKING else (inverse_x, inverse_y)
+    spot = F.array(F.array(F.array(F.struct(fx(point_x(g)).alias("x"), fy(point_y(g)).alias("y")))))
+    alone = F.struct(F.lit(srid).alias("srid"), g["kind"].alias("kind"), spot.alias("polygons"))
+    moved = F.when(is_point(g), alone).otherwise(moved)
     unknown = F.raise_error(F.concat(F.lit("geometry CRS cannot be reprojected: "), F.coalesce(g["srid"].cast("string"), F.lit("none"))))
     return (
         F.when(g.isNull(), F.lit(None).cast(S.GEOMETRY_TYPE))
@@ -251,7 +275,7 @@ def close_rings(g: Column) -> Column:
         return F.when((F.size(r) > 1) & (r[0] != F.element_at(r, -1)), F.concat(r, F.slice(r, 1, 1))).otherwise(r)
 
     def orient(r: Column, outline: Column) -> Column:
-        wrong = F.when(outline, _signed_area(r) < 0).otherwise(_signed_area(r) > 0)
+        wrong = F.when(outline, signed_area(r) < 0).otherwise(signed_area(r) > 0)
         return F.when(wrong, F.reverse(r)).otherwise(r)
 
     fixed = F.transform(

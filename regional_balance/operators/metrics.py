@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from regional_balance import schema as S
@@ -16,18 +16,26 @@ SUPERSEDED_LAYER_COLUMNS = ("need_score", "need_class", "priority_rank", "demand
 
 
 def _pair(per_activity: DataFrame, supply: DataFrame, by: Sequence[str], activities: Iterable[str] | None) -> DataFrame:
-    """Equi-join on activity. Activity demand has one row per activity and group, so with the ``activities`` listed
-    and no groups its size is that of the list and it is broadcast; otherwise adaptive execution decides."""
+    """Equi-join on activity. Activity demand has one row per activity and group. With the ``activities`` listed and no
+    groups that is made sure of, a repeated activity being an error, so its size is that of the list and it is broadcast;
+    otherwise adaptive execution decides."""
     S.require(per_activity, *by, "activity", "demand_value", what="activity demand")
     S.require(supply, *by, "region_id", "activity", "supply_value", what="activity supply")
     demand = per_activity.select(*by, "activity", "demand_value")
     if activities is not None:
         demand = demand.filter(F.col("activity").isin(*activities))
         if not by:
-            demand = F.broadcast(demand)
+            demand = F.broadcast(_one_row_each(demand))
     return supply.join(demand, [*by, "activity"], "inner")
 
 
+def _one_row_each(demand: DataFrame) -> DataFrame:
+    """(activity, demand_value), each activity once."""
+    folded = demand.groupBy("activity").agg(F.count("*").alias("_n"), F.first("demand_value").alias("demand_value"))
+    twice = F.raise_error(F.concat(F.lit("activity demand has more than one row for "), F.coalesce("activity", F.lit("a missing activity"))))
+    return folded.select("activity", F.when(F.col("_n") == 1, F.col("demand_value")).otherwise(twice.cast("double")).alias("demand_value"))
+
+
 def activity_metrics(
     per_activity: DataFrame,
     supply: DataFrame,
@@ -74,11 +82,22 @@ def activity_scores(
     )
 
 
+def observed(scores: DataFrame, score: str = "ActivityNeedScore") -> tuple[DataFrame, Observation]:
+    """The same rows, and an observation that holds the counts of ``row_stats`` once they have been written or collected.
+
+    The counts are gathered while the result itself is computed, so they cost no job. They are those of the first action on the
+    frame that is returned; ``row_stats`` is for counts by group, or apart from any action.
+    """
+    counts = Observation()
+    rows = F.count(F.lit(1))
+    named = [rows.alias("supply_rows"), rows.alias("matched_rows"), F.count(score).alias("scored_rows")]
+    return scores.observe(counts, *named), counts
+
+
 def row_stats(scores: DataFrame, score: str = "ActivityNeedScore", by: Sequence[str] = ()) -> DataFrame:
     """Supply rows, rows matched to demand (all of them) and rows with a score.
 
-    A query of its own rather than counters on the side: those count a stage again when Spark runs it again, as
-    it does to sample a global sort or after losing an executor.
+    A query of its own; ``observed`` gathers the same while a result is written.
     """
     rows = F.count(F.lit(1))
     return scores.groupBy(*by).agg(rows.alias("supply_rows"), rows.alias("matched_rows"), F.count(score).alias("scored_rows"))

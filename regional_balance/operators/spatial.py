@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +10,13 @@ from pyspark.sql import functions as F
 from regional_balance import schema as S
 from regional_balance.functions import geometry as G
 from regional_balance.functions import names as N
+from regional_balance.functions import planar as P
+from regional_balance.operators.arrange import geometry_name, with_problem
+from regional_balance.operators.cells import INTERIORS, PREDICATES, Grid, laid_out, related
 
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 _EDGE_BYTES, _CELL_BYTES = 48, 200
-_SMALLEST, _LN8 = 1e-9, math.log(8.0)
 
 
 def to_crs(df: DataFrame, srid: int = S.SRID_WORKING, geometry: str = "geometry") -> DataFrame:
@@ -27,96 +27,67 @@ def drop_missing_geometry(df: DataFrame, geometry: str = "geometry") -> DataFram
     return df.filter(F.col(geometry).isNotNull())
 
 
-def repair_geometry(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """Close and orient rings and drop geometries that are still unusable."""
+def repair_geometry(df: DataFrame, geometry: str = "geometry", drop_crossing: bool = False) -> DataFrame:
+    """Close and orient rings and drop geometries that are still unusable; with ``drop_crossing`` also outlines that cross,
+    overlap or touch themselves."""
     fixed = df.withColumn(geometry, G.close_rings(F.col(geometry)))
-    return fixed.filter(G.problem(F.col(geometry)).isNull())
+    if not drop_crossing:
+        return fixed.filter(G.problem(F.col(geometry)).isNull())
+    return with_problem(fixed, geometry, "_problem").filter(F.col("_problem").isNull()).select(*df.columns)
 
 
 def audit_geometry(df: DataFrame, geometry: str = "geometry", by: Sequence[str] = ()) -> DataFrame:
-    """(by..., problem, n) over all geometries; usable ones count as ``ok``."""
-    why = F.coalesce(G.problem(F.col(geometry)), F.lit("ok")).alias("problem")
-    return df.select(*by, why).groupBy(*by, "problem").agg(F.count("*").alias("n"))
+    """(by..., problem, n) over all geometries; usable ones count as ``ok``. Areas are also looked through for edges that
+    cross, overlap or touch each other (see ``arrange.self_contacts``)."""
+    why = F.coalesce("_problem", F.lit("ok")).alias("problem")
+    return with_problem(df.select(*by, geometry), geometry, "_problem").select(*by, why).groupBy(*by, "problem").agg(F.count("*").alias("n"))
 
 
-@dataclass(frozen=True)
-class Grid:
-    """Square cells of side ``8 ** level``; a geometry belongs to the level whose cells are at least as large as it.
+def layer_profile(targets: DataFrame, grid: Grid, geometry: str = "geometry") -> tuple[list[int], int]:
+    """Levels of a layer and an upper bound, in bytes, of its cells: every edge in every cell of its own box, and every
+    cell of a region's box.
 
-    It then covers at most 2 x 2 cells however uneven the sizes in a layer are, and small geometries never share
-    a cell just because large ones exist. A fixed ``side`` makes one level.
+    One aggregate over the layer and one row back; there are few levels (eight-fold steps of size).
     """
+    g, level = F.col(geometry), F.col("level")
 
-    side: float | None = None
-
-    def level(self, box: Column) -> Column:
-        if self.side is not None:
-            return F.lit(0)
-        extent = F.greatest(box["x2"] - box["x1"], box["y2"] - box["y1"], F.lit(_SMALLEST))
-        return F.ceil(F.ln(extent) / F.lit(_LN8)).cast("int")
-
-    def cell(self, c: Column, level: Column) -> Column:
-        size = F.lit(float(self.side)) if self.side is not None else F.pow(F.lit(8.0), level)
-        return F.floor(c / size)
-
-    def span(self, lo: Column, hi: Column, level: Column) -> Column:
-        return F.sequence(self.cell(lo, level), self.cell(hi, level))
-
-    def centre(self, cell: Column, level: Column) -> Column:
-        size = F.lit(float(self.side)) if self.side is not None else F.pow(F.lit(8.0), level)
-        return (cell + F.lit(0.5)) * size
+    def cells(box: Column) -> Column:
+        across = grid.cell(box["x2"], level) - grid.cell(box["x1"], level) + 1
+        return across * (grid.cell(box["y2"], level) - grid.cell(box["y1"], level) + 1)
 
+    def box_of(e: Column) -> Column:
+        sides = {f"{c}{k}": f(e[f"{c}1"], e[f"{c}2"]) for c in "xy" for k, f in ((1, F.least), (2, F.greatest))}
+        return F.struct(*[v.alias(n) for n, v in sides.items()])
 
-def _boxed(df: DataFrame, ident: str, geometry: str, grid: Grid, prefix: str) -> DataFrame:
-    """(prefix_id, prefix_b box, prefix_e edges, prefix_p first vertex of each part, prefix_a whether an area,
-    prefix_own level) of geometries that are not missing."""
-    g, box = F.col(geometry), F.col(f"{prefix}b")
-    found = {"id": F.col(ident), "b": G.bbox(g), "e": G.edges(g), "p": G.starts(g), "a": G.is_area(g)}
-    boxed = df.filter(g.isNotNull()).select(*[c.alias(f"{prefix}{n}") for n, c in found.items()])
-    return boxed.withColumn(f"{prefix}own", grid.level(box))
+    sized = targets.filter(g.isNotNull()).select(G.part_boxes(g).alias("b"), G.edges(g).alias("e"), grid.level_of(g).alias("level"))
 
+    def added(items: str, each) -> Column:
+        return F.aggregate(F.transform(items, each), F.lit(0).cast("decimal(38,0)"), lambda s, v: (s + v).cast("decimal(38,0)"))
 
-def layer_profile(targets: DataFrame, grid: Grid, geometry: str = "geometry") -> tuple[list[int], int]:
-    """Levels of a layer and an upper bound, in bytes, of its cells: every edge in every cell of its target.
-
-    One aggregate over the layer and one row back; there are few levels (eight-fold steps of size).
-    """
-    g = F.col(geometry)
-    sized = targets.filter(g.isNotNull()).select(G.bbox(g).alias("b"), F.size(G.vertices(g)).alias("n"))
-    sized = sized.withColumn("level", grid.level(F.col("b")))
-    level = F.col("level")
-    across = grid.cell(F.col("b.x2"), level) - grid.cell(F.col("b.x1"), level) + 1
-    down = grid.cell(F.col("b.y2"), level) - grid.cell(F.col("b.y1"), level) + 1
-    each = (across * down * (F.col("n") * _EDGE_BYTES + _CELL_BYTES)).cast("decimal(38,0)")
-    row = sized.agg(F.collect_set("level").alias("levels"), F.sum(each).alias("bytes")).first()
+    held = added("e", lambda e: cells(box_of(e)) * _EDGE_BYTES) + added("b", lambda b: cells(b) * _CELL_BYTES)
+    row = sized.agg(F.collect_set("level").alias("levels"), F.sum(held).alias("bytes")).first()
     return sorted(row["levels"]), int(row["bytes"] or 0)
 
 
-def region_cells(targets: DataFrame, grid: Grid, target_id: str, geometry: str = "geometry") -> DataFrame:
-    """One row per target and covered cell, carrying only the edges a ray from within the cell can meet.
+def region_cells(targets: DataFrame, grid: Grid, target_id: str, geometry: str = "geometry", attributes: Sequence[str] = ()) -> DataFrame:
+    """One row per target and covered cell: ``_tid``, the target's box ``_tb``, its level ``_town``, ``_cx``, ``_cy``, the
+    edges ``_te`` that meet the cell, whether its centre is inside (``_middle``), and ``attributes`` in the struct ``_also``.
 
     A cell that no edge passes lies wholly inside or outside: ``_inside`` answers for all its points, and cells
     outside are dropped.
     """
-    level, cx, cy = F.col("_town"), F.col("_cx"), F.col("_cy")
-    cells = _boxed(targets, target_id, geometry, grid, "_t").drop("_tp", "_ta")
-    cells = cells.withColumn("_cx", F.explode(grid.span(F.col("_tb.x1"), F.col("_tb.x2"), level)))
-    cells = cells.withColumn("_cy", F.explode(grid.span(F.col("_tb.y1"), F.col("_tb.y2"), level)))
-
-    def reachable(e: Column) -> Column:
-        return (
-            (grid.cell(F.least(e["y1"], e["y2"]), level) <= cy)
-            & (grid.cell(F.greatest(e["y1"], e["y2"]), level) >= cy)
-            & (grid.cell(F.greatest(e["x1"], e["x2"]), level) >= cx)
-        )
-
-    def passes(e: Column) -> Column:
-        return grid.cell(F.least(e["x1"], e["x2"]), level) <= cx
-
-    cells = cells.withColumn("_te", F.filter("_te", reachable))
-    centre = G.covers_point(F.col("_te"), grid.centre(cx, level), grid.centre(cy, level))
-    cells = cells.withColumn("_inside", F.when(~F.exists("_te", passes), centre))
-    return cells.filter(F.col("_inside").isNull() | F.col("_inside"))
+    g = F.col(geometry)
+    also = F.struct(*[N.quoted(c) for c in attributes]) if attributes else F.lit(0)
+    rows = targets.filter(g.isNotNull()).select(F.col(target_id).alias("_tid"), also.alias("_also"), g.alias("_g"), geometry_name(geometry).alias("_name"))
+    # Equal rows are laid out once and counted, so that they come back as often as they are there.
+    rows = rows.groupBy("_tid", "_name", F.xxhash64("_also").alias("_hash"))
+    rows = rows.agg(F.first("_g").alias("_g"), F.first("_also").alias("_also"), F.count("*").cast("int").alias("_n"))
+    rows = rows.withColumns({"_tb": G.bbox(F.col("_g")), "_town": grid.level_of(F.col("_g"))}).withColumn("_on", F.array("_town"))
+    cells = laid_out(rows, grid, ["_tid", "_name", "_hash"], "_g", "_on", ["_also", "_tb", "_town", "_n"])
+    cells = cells.withColumnsRenamed({"cx": "_cx", "cy": "_cy", "edges": "_te", "middle": "_middle"})
+    cells = cells.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).drop("level", "_name", "_hash", "_n")
+    centre = {f"_m{c}": grid.centre(F.col(f"_c{c}"), F.col("_town")) for c in "xy"}
+    return cells.withColumns({"_inside": F.when(F.size("_te") == 0, F.lit(True)), **centre})
 
 
 def spatial_join(
@@ -129,43 +100,52 @@ def spatial_join(
     source_id: str | None = None,
     srid: int = S.SRID_WORKING,
     broadcast_bytes: int = BROADCAST_BYTES,
+    predicate: str = "intersects",
+    attributes: Sequence[str] | None = None,
+    suffix: str = "_target",
 ) -> DataFrame:
-    """Join source geometries to the target regions they intersect; boundary contact counts.
+    """Join source geometries to the target regions for which ``predicate`` holds; by default those they intersect, boundary
+    contact included.
+
+    Targets are areas. Sources are points, lines and areas in any mixture, also of several parts. The predicates have their
+    usual meaning: ``within`` (the source lies in the target and not only on its outline), ``contains``, ``touches`` (they share
+    outline only), ``overlaps`` (areas, either with a part outside the other), ``crosses`` (lines and multipoints, partly inside).
+    ``attributes`` are further columns of the target to bring; one that the source has too gets ``suffix``.
 
-    Targets are areas. Sources are points, lines and areas in any mixture, also of several parts; what is not a single point is told
-    apart by ``source_id`` or else by its content. An equi-join on grid cells finds the candidates and an exact test decides. The cells of the regions are broadcast if a bound
-    on their size, computed from the layer, is at most ``broadcast_bytes``; points then do not move at all.
-    Otherwise both sides are shuffled by cell and adaptive execution splits a crowded one.
+    An equi-join on grid cells finds what meets and what happens in the cells decides. For single points the cells of the
+    regions are broadcast if a bound on their size, computed from the layer, is at most ``broadcast_bytes``; points then do not move
+    at all. Otherwise both sides are shuffled by cell and adaptive execution splits a crowded one. Other sources are
+    told apart by their geometry, equal ones are compared once (``source_id`` is not needed and kept for callers that have one).
 
     ``left`` keeps unmatched sources with a missing target id, ``right`` keeps unmatched targets.
     """
     if how not in ("left", "right", "inner"):
         raise ValueError(f"how must be left, right or inner, not {how!r}")
+    if predicate not in PREDICATES:
+        raise ValueError(f"predicate must be one of {PREDICATES}, not {predicate!r}")
     S.require(source, geometry, what="source")
-    S.require(target, target_id, geometry, what="target")
+    S.require(target, target_id, geometry, *(attributes or ()), what="target")
     source = to_crs(N.drop_present(source, target_id) if target_id != source_id else source, srid, geometry)
-    regions = to_crs(target.select(target_id, geometry), srid, geometry)
+    taken = {c.lower() for c in source.columns}
+    brought = {c: c + suffix if c.lower() in taken else c for c in attributes or () if c not in (target_id, geometry)}
+    regions = to_crs(target.select(target_id, geometry, *brought), srid, geometry).withColumnsRenamed(brought)
+    also = list(brought.values())
     grid = Grid(cell_size)
     levels, size = layer_profile(regions, grid, geometry)
     extended = F.coalesce(~G.is_point(F.col(geometry)), F.lit(False))
-    if source_id is not None:
-        joined = _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id)
-    elif source.filter(extended).isEmpty():
-        joined = _join_points(source, regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
+    shapes = source.filter(extended)
+    if shapes.isEmpty():
+        joined = _join_points(source, regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes, predicate, also)
     else:
-        points = _join_points(source.filter(~extended), regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes)
-        # Equal rows have equal ids; the geometry join takes each id once and the rows are joined to its pairs.
-        content = F.sha2(F.to_json(F.struct(*[N.quoted(c) for c in source.columns])), 256)
-        others = source.filter(extended).withColumn("_source_id", content)
-        others = _join_polygons(others, regions, target_id, how, grid, geometry, levels, "_source_id").drop("_source_id")
-        joined = points.unionByName(others)
-    return _with_unmatched_targets(joined, regions, target_id) if how == "right" else joined
+        points = _join_points(source.filter(~extended), regions, target_id, how, grid, geometry, levels, size <= broadcast_bytes, predicate, also)
+        joined = points.unionByName(_join_shapes(shapes, regions, target_id, how, grid, geometry, predicate, also))
+    return _with_unmatched_targets(joined, regions, target_id, also) if how == "right" else joined
 
 
-def _join_points(source, regions, target_id, how, grid, geometry, levels, small):
+def _join_points(source, regions, target_id, how, grid, geometry, levels, small, predicate, also):
     """A point has one cell per level and a target covers a cell of its level once, so no pair comes twice."""
     columns = source.columns
-    cells = region_cells(regions, grid, target_id, geometry).withColumnRenamed("_tid", target_id)
+    cells = region_cells(regions, grid, target_id, geometry, also).withColumnRenamed("_tid", target_id)
     if small:
         cells = F.broadcast(cells)
     points = source.withColumns({"_x": G.point_x(F.col(geometry)), "_y": G.point_y(F.col(geometry))})
@@ -173,64 +153,48 @@ def _join_points(source, regions, target_id, how, grid, geometry, levels, small)
     level = F.lit(levels[0] if levels else 0) if one_level else F.explode(F.array(*[F.lit(v) for v in levels]))
     probes = points.withColumn("_level", level)
     probes = probes.withColumns({c: grid.cell(F.col(v), F.col("_level")) for c, v in (("_px", "_x"), ("_py", "_y"))})
+    x, y, edges = F.col("_x"), F.col("_y"), F.col("_te")
+    cell = P.Centre(F.col("_mx"), F.col("_my"))
+    on = F.exists(edges, lambda e: G.on_edge(x, y, e))
+    held = {
+        "intersects": F.coalesce(F.col("_inside"), P.covers(edges, F.col("_middle"), x, y, cell)),
+        "within": F.coalesce(F.col("_inside"), ~on & P.inside(edges, F.col("_middle"), x, y, cell)),
+        "touches": F.col("_inside").isNull() & on,
+    }.get(predicate, F.lit(False))
     hit = (
         (F.col("_level") == F.col("_town"))
         & (F.col("_px") == F.col("_cx"))
         & (F.col("_py") == F.col("_cy"))
-        & F.col("_x").between(F.col("_tb.x1"), F.col("_tb.x2"))
-        & F.col("_y").between(F.col("_tb.y1"), F.col("_tb.y2"))
-        & F.coalesce(F.col("_inside"), G.covers_point(F.col("_te"), F.col("_x"), F.col("_y")))
+        & x.between(F.col("_tb.x1"), F.col("_tb.x2"))
+        & y.between(F.col("_tb.y1"), F.col("_tb.y2"))
+        & held
     )
+    out = [*columns, target_id, *[F.col("_also")[c].alias(c) for c in also]]
     if how == "left" and one_level:
-        return probes.join(cells, hit, "left").select(*columns, target_id)
+        return probes.join(cells, hit, "left").select(*out)
     matched = probes.join(cells, hit, "inner")
     if how != "left":
-        return matched.select(*columns, target_id)
+        return matched.select(*out)
     # Whether a point is matched depends on its place only, so places tell the unmatched rows without row ids.
     alone = points.join(matched.select("_x", "_y").distinct(), ["_x", "_y"], "left_anti")
-    return matched.select(*columns, target_id).unionByName(alone.select(*columns), allowMissingColumns=True)
-
-
-def _join_polygons(source, regions, target_id, how, grid, geometry, levels, source_id, ordered=False):
-    """Two geometries meet in the cells of the larger one's level: each is laid out on its own level and, for
-    partners that are larger, on theirs. A pair is kept only in the cell that holds the lower left corner of the
-    intersection of the two boxes. ``ordered`` keeps pairs whose source id is the smaller one, before edges are compared."""
-    s = _boxed(source.dropDuplicates([source_id]), source_id, geometry, grid, "_s")
-    t = _boxed(regions, target_id, geometry, grid, "_t")
-    target_levels = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
-    source_levels = s.agg(F.collect_set("_sown").alias("levels")).scalar()
-
-    def laid_out(df: DataFrame, prefix: str, on: Column) -> DataFrame:
-        box = F.col(f"{prefix}b")
-        out = df.withColumn("_level", on)
-        out = out.withColumn("_cx", F.explode(grid.span(box["x1"], box["x2"], F.col("_level"))))
-        return out.withColumn("_cy", F.explode(grid.span(box["y1"], box["y2"], F.col("_level"))))
-
-    t = t.withColumn("_source_levels", source_levels)
-    finer_targets = F.explode(F.filter("_source_levels", lambda v: v >= F.col("_town")))
-    finer_sources = F.explode(F.filter(target_levels, lambda v: v > F.col("_sown")))
-    keys = ["_level", "_cx", "_cy"]
-    by_source = laid_out(s, "_s", F.col("_sown")).join(laid_out(t, "_t", finer_targets).drop("_source_levels"), keys)
-    by_target = laid_out(s, "_s", finer_sources).join(laid_out(t, "_t", F.col("_town")).drop("_source_levels"), keys)
-    a, b = F.col("_sb"), F.col("_tb")
-    left_x, left_y = F.greatest(a["x1"], b["x1"]), F.greatest(a["y1"], b["y1"])
-    wanted = F.col("_sid") < F.col("_tid") if ordered else F.lit(True)
-    met = (
-        wanted
-        & (left_x <= F.least(a["x2"], b["x2"]))
-        & (left_y <= F.least(a["y2"], b["y2"]))
-        & (grid.cell(left_x, F.col("_level")) == F.col("_cx"))
-        & (grid.cell(left_y, F.col("_level")) == F.col("_cy"))
-        & G.polygons_meet(*[F.col(c) for c in ("_se", "_te", "_sp", "_tp", "_sa", "_ta")])
-    )
-    pairs = by_source.filter(met).select("_sid", "_tid").unionByName(by_target.filter(met).select("_sid", "_tid"))
-    joined = source.join(pairs, F.col(source_id) == F.col("_sid"), "left" if how == "left" else "inner")
-    return joined.select(*source.columns, F.col("_tid").alias(target_id))
+    return matched.select(*out).unionByName(alone.select(*columns), allowMissingColumns=True)
+
+
+def _join_shapes(source, regions, target_id, how, grid, geometry, predicate, also):
+    """Relations depend on geometries alone: each different one is laid out once, and rows are joined to the pairs."""
+    named = source.withColumn("_s", geometry_name(geometry))
+    targets = regions.withColumn("_t", geometry_name(geometry))
+    shapes = [df.select(F.col(c).alias(c[1]), F.col(geometry).alias("geometry")) for df, c in ((named, "_s"), (targets, "_t"))]
+    one = [df.groupBy(c).agg(F.first("geometry").alias("geometry")) for df, c in zip(shapes, "st", strict=True)]
+    pairs = related(*one, grid, predicate).withColumnsRenamed({"s": "_s", "t": "_t"})
+    found = pairs.join(targets.drop(geometry), "_t").drop("_t")
+    joined = named.join(found, "_s", "left" if how == "left" else "inner")
+    return joined.select(*source.columns, target_id, *also)
 
 
-def _with_unmatched_targets(matched: DataFrame, regions: DataFrame, target_id: str) -> DataFrame:
+def _with_unmatched_targets(matched: DataFrame, regions: DataFrame, target_id: str, also: Sequence[str] = ()) -> DataFrame:
     seen = matched.select(target_id).distinct()
-    alone = regions.select(target_id).join(seen, target_id, "left_anti")
+    alone = regions.select(target_id, *also).join(seen, target_id, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
@@ -260,7 +224,7 @@ def assign_regions(
 
 
 def total_area(df: DataFrame, geometry: str = "geometry", by: Sequence[str] = ()) -> DataFrame:
-    """Area of a coverage without overlaps, in the geometries' CRS: (by..., area)."""
+    """Area of a coverage without overlaps, in the geometries' CRS: (by..., area). ``arrange.union_area`` counts places under several parts once."""
     return df.groupBy(*by).agg(F.coalesce(F.sum(G.area(F.col(geometry))), F.lit(0.0)).alias("area"))
 
 
@@ -305,11 +269,13 @@ def dissolve_outline(df: DataFrame, region: str, geometry: str = "geometry") ->
     return counted.filter(F.col("n") % 2 == 1).drop("n")
 
 
-def overlapping_parts(df: DataFrame, part_id: str, geometry: str = "geometry", cell_size: float | None = None, srid: int = S.SRID_WORKING) -> DataFrame:
-    """Pairs of parts whose interiors or outlines meet: (part_id, other). Neighbours that share an edge are among them."""
+def overlapping_parts(
+    df: DataFrame, part_id: str, geometry: str = "geometry", cell_size: float | None = None, srid: int = S.SRID_WORKING, touching: bool = True
+) -> DataFrame:
+    """Pairs of parts that meet: (part_id, other), the smaller id first. Neighbours that only share an edge or a corner are
+    among them unless ``touching`` is false: then only parts whose interiors overlap."""
     S.require(df, part_id, geometry, what="parts")
-    grid = Grid(cell_size)
-    parts = to_crs(df.select(part_id, geometry), srid, geometry)
-    others = parts.select(F.col(part_id).alias("other"), geometry)
-    levels, _ = layer_profile(others, grid, geometry)
-    return _join_polygons(parts, others, "other", "inner", grid, geometry, levels, part_id, ordered=True).select(part_id, "other")
+    parts = to_crs(df.select(part_id, geometry), srid, geometry).withColumnRenamed(geometry, "geometry")
+    sides = [parts.select(F.col(part_id).alias(c), "geometry").dropDuplicates([c]) for c in "st"]
+    pairs = related(*sides, Grid(cell_size), "intersects" if touching else INTERIORS, ordered=True)
+    return pairs.select(F.col("s").alias(part_id), F.col("t").alias("other"))

@@ -13,15 +13,19 @@ from regional_balance.functions import columns as C
 from regional_balance.functions import names as N
 
 
+_RAW = "raw_values"
+
+
 @dataclass(frozen=True)
 class Validated:
-    """``checked`` carries every row with ``reasons``; ``valid`` and ``rejects`` are its two filters."""
+    """``checked`` carries every row with ``reasons``; ``valid`` and ``rejects`` are its two filters. Where values were typed,
+    rejects also have them as they came, in the map ``raw_values``."""
 
     checked: DataFrame
 
     @property
     def valid(self) -> DataFrame:
-        return self.checked.filter(F.size("reasons") == 0).drop("reasons")
+        return self.checked.filter(F.size("reasons") == 0).drop("reasons", _RAW)
 
     @property
     def rejects(self) -> DataFrame:
@@ -42,7 +46,9 @@ def _typed(df: DataFrame, typed: Mapping[str, Column], rules: Mapping[str, Colum
 
     Typed columns whose name starts with ``_`` only serve the rules.
     """
-    coerced = df.select(*extra, *[c.alias(n) for n, c in typed.items()])
+    came = [x for n in typed if n in df.columns for x in (F.lit(n), N.quoted(n).cast("string"))]
+    raw = F.create_map(*came) if came else F.lit(None).cast("map<string,string>")
+    coerced = df.select(*[c for c in extra if c != _RAW], *[c.alias(n) for n, c in typed.items()], raw.alias(_RAW))
     checked = check(coerced, rules).checked
     return Validated(checked.drop(*[n for n in typed if n.startswith("_")]))
 

@@ -21,12 +21,13 @@ from regional_balance.operators.clean import clean_demand_wide
 @dataclass
 class ScoredRegions:
     """Results, each built when first asked for. Only the need table may run jobs while it is built (its scores are
-    checkpointed unless ``reproducible``); the activity metrics do not depend on it."""
+    checkpointed unless ``reproducible``); the activity metrics do not depend on it. ``skipped`` lists input files left out."""
 
     build: Callable[[], DataFrame]
     activity_metrics: DataFrame | None
     boundaries: DataFrame | None
     threshold: float
+    skipped: DataFrame | None = None
 
     @cached_property
     def need_table(self) -> DataFrame:

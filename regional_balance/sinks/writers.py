@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +15,7 @@ from regional_balance.functions import geometry as G
 from regional_balance.functions import names as N
 from regional_balance.operators.score import improvement_list
 from regional_balance.plans.scoring import ScoredRegions
+from regional_balance.sources.results import POINTER, current_copy
 
 # Stable names of the current results; fixed values.
 CURRENT_NAMES = {
@@ -40,11 +43,80 @@ def write_run(df: DataFrame, root: str, name: str, run_ts: str, vintage: str = S
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+class Folder:
+    """Moves and small files in the file system that a path belongs to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark.sparkContext._jvm
+        self.fs = jvm.org.apache.hadoop.fs
+        self.conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.path = self.fs.Path(path)
+        self.system = self.path.getFileSystem(self.conf)
+        self.rename = self.fs.FileContext.getFileContext(self.system.makeQualified(self.path).toUri(), self.conf)
+        self.replace = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        self.gateway = spark.sparkContext._gateway
+
+    def put_text(self, name: str, text: str) -> None:
+        """Write a small file beside and rename it over the old one, which is atomic."""
+        fresh = self.fs.Path(self.path, f".{name}.{uuid.uuid4().hex}")
+        out = self.system.create(fresh, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        options = self.gateway.new_array(self.gateway.jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self.replace
+        qualified = [self.system.makeQualified(p) for p in (fresh, self.fs.Path(self.path, name))]
+        self.rename.rename(*qualified, options)
+
+    def names(self) -> list[str]:
+        return [s.getPath().getName() for s in self.system.listStatus(self.path)] if self.system.exists(self.path) else []
+
+    def delete(self, name: str) -> None:
+        self.system.delete(self.fs.Path(self.path, name), True)
+
+    def move_in(self, staged: str) -> None:
+        """Put a finished folder in the place of this one."""
+        self.system.delete(self.path, True)
+        self.system.mkdirs(self.path.getParent())
+        self.system.rename(self.fs.Path(staged), self.path)
+
+
+def staged(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Let ``write`` fill a hidden folder beside ``path`` and move that there when it is complete: until then, and if the job
+    fails, the old one stays."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    fresh = f"{parent}/_staged-{name}-{uuid.uuid4().hex}"
+    try:
+        write(fresh)
+    except BaseException:
+        Folder(spark, parent).delete(fresh.rsplit("/", 1)[1])
+        raise
+    Folder(spark, path).move_in(fresh)
+    return path
+
+
+def write_current(df: DataFrame, root: str, name: str, version: str | None = None) -> str:
+    """Publish a result's current copy, which ``sources.results.read_current`` reads.
+
+    Each copy is a folder of its own, and ``_current`` names the one that holds. It is replaced by a rename once the copy is
+    complete, so readers see the old copy or the new one and a job that fails changes nothing. The copy before stays, for
+    readers that have opened it; older ones go.
+    """
+    spark = df.sparkSession
+    path, fresh = f"{root}/current/{name}", f"copy-{version or run_stamp()}-{uuid.uuid4().hex[:8]}"
+    before = current_copy(spark, root, name)
+    df.write.parquet(f"{path}/{fresh}")
+    folder = Folder(spark, path)
+    folder.put_text(POINTER, fresh)
+    for old in folder.names():
+        if old.startswith("copy-") and old not in (fresh, before):
+            folder.delete(old)
     return path
 
 
+def write_csv(df: DataFrame, path: str) -> str:
+    return staged(df.sparkSession, path, lambda fresh: df.write.option("header", "true").csv(fresh))
+
+
 def feature_line(df: DataFrame, geometry: str = "geometry") -> Column:
     """One GeoJSON feature as text; every other column is a property, missing ones are written as null."""
     properties = F.struct(*[N.quoted(c) for c in df.columns if c != geometry])
@@ -64,8 +136,7 @@ def feature_lines(df: DataFrame, geometry: str = "geometry") -> DataFrame:
 def write_features(df: DataFrame, path: str, geometry: str = "geometry", srid: int = S.SRID_LONLAT) -> str:
     """Line-delimited features in longitude/latitude, as GeoJSON prescribes."""
     layer = df.withColumn(geometry, G.reproject(F.col(geometry), srid))
-    feature_lines(layer, geometry).write.mode("overwrite").text(path)
-    return path
+    return staged(df.sparkSession, path, lambda fresh: feature_lines(layer, geometry).write.text(fresh))
 
 
 def write_aligned(frames: dict[str, DataFrame], root: str, unit: str) -> dict[str, str]:
@@ -104,7 +175,7 @@ def export_results(
 
     def publish(name: str, df: DataFrame) -> None:
         stable = CURRENT_NAMES[name]
-        df.write.mode("overwrite").parquet(f"{root}/current/{stable}")
+        write_current(df, root, stable, run_ts)
         paths[f"{name}.csv"] = write_csv(df, f"{root}/csv/{name}_{vintage}_{run_ts}.csv")
         write_csv(df, f"{root}/csv/{stable}.csv")
         if bundle:
@@ -122,7 +193,7 @@ def export_results(
         name = f"need_spatial_{vintage}_{run_ts}.geojson"
         paths["need_spatial.geojson"] = write_features(layer, f"{root}/geojson/{name}")
         write_features(layer, f"{root}/geojson/{CURRENT_NAMES['need_spatial']}.geojson")
-        layer.write.mode("overwrite").parquet(f"{root}/current/{CURRENT_NAMES['need_spatial']}")
+        write_current(layer, root, CURRENT_NAMES["need_spatial"], run_ts)
         if bundle:
             write_features(layer, f"{root}/exports/run_{run_ts}/need_spatial.geojson")
     return paths

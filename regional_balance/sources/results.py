@@ -28,6 +28,27 @@ def read_results(spark: SparkSession, root: str, name: str, vintage: str | None
     return latest_run(history)
 
 
+#: File that names the folder of a result's current copy.
+POINTER = "_current"
+
+
+def current_copy(spark: SparkSession, root: str, name: str) -> str | None:
+    """Folder name of the copy that holds, None if nothing has been published."""
+    jvm = spark.sparkContext._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/current/{name}/{POINTER}")
+    system = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(pointer):
+        return None
+    stream = system.open(pointer)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The stable copy of a result that each run overwrites."""
-    return spark.read.parquet(f"{root}/current/{name}")
+    """The current copy of a result, as the last run that published one left it."""
+    copy = current_copy(spark, root, name)
+    if copy is None:
+        raise FileNotFoundError(f"no current copy of {name} under {root}")
+    return spark.read.parquet(f"{root}/current/{name}/{copy}")

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regional_balance.functions import geometry as G
+from regional_balance.operators import arrange as A
 from regional_balance.operators import metrics as M
+from regional_balance.operators import rings as Y
 from regional_balance.operators import score as R
 from regional_balance.operators import spatial as X
 from regional_balance.operators import supply as U
 from regional_balance.operators import validate as V
 from regional_balance.plans.alignment import align_to_geography, score_aligned
 from regional_balance.schema import SRID_LONLAT, SRID_WORKING, ScoreParams
-from regional_balance.sources.features import boundary_rows, rejected_lines
+from regional_balance.session import shared_folder
+from regional_balance.sinks import writers
+from regional_balance.sources.features import boundary_features, boundary_rows, read_features, rejected_lines
 from workload.registry import Tables, money, query, rounded, sql_need
 from workload.scores import NEED_COLUMNS, SQL_NATION, nation_table, tidy
 
@@ -325,3 +331,135 @@ def aligned_scores(spark, sf):
     out = layer.withColumn("x1", G.bbox(F.col("geometry"))["x1"]).drop("geometry")
     out = out.withColumn("priority_rank", F.col("priority_rank").cast("double"))
     return rounded(out, demand_value=9, supply_value=2, need_score=6)
+
+
+INTERSECTS = "x <= gx + 1 AND x + w >= gx AND y <= gy + 1 AND y + h >= gy"
+INTERIORS = "x < gx + 1 AND x + w > gx AND y < gy + 1 AND y + h > gy"
+WITHIN = "x >= gx AND x + w <= gx + 1 AND y >= gy AND y + h <= gy + 1"
+CONTAINS = "x <= gx AND x + w >= gx + 1 AND y <= gy AND y + h >= gy + 1"
+SQL_SIZED = f"""WITH {SQL_GRID}, p AS (SELECT c_custkey, (c_acctbal + 1000) / 2000 AS x, c_nationkey / 5.0 AS y, 0.25 AS w, 0.25 AS h FROM customer),
+b AS (SELECT s_suppkey, s_acctbal / 5000 AS x, (s_nationkey % 5) * 1.0 AS y, 2.5 AS w, 2.0 AS h FROM supplier)"""
+
+
+def estates(t: Tables) -> DataFrame:
+    """Boxes larger than a region; their lower and upper sides lie on region borders."""
+    x, y = F.col("s_acctbal") / 5000, (F.col("s_nationkey") % 5) * 1.0
+    return t.supplier.select("s_suppkey", G.box(x, y, x + 2.5, y + 2.0, SRID_WORKING).alias("geometry"))
+
+
+@query("spatial_within", f"{SQL_SIZED} SELECT c_custkey, region_id, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM p JOIN g ON {WITHIN}")
+def spatial_within(spark, sf):
+    """Parcels inside one region, with a column of the region."""
+    t = Tables(spark, sf)
+    joined = X.spatial_join(parcels(t), grid(t), how="inner", predicate="within", attributes=["n_regionkey"])
+    return joined.select("c_custkey", "region_id", F.col("n_regionkey").cast("long").alias("n_regionkey"))
+
+
+@query("spatial_touches", f"{SQL_SIZED} SELECT c_custkey, region_id FROM p JOIN g ON {INTERSECTS} AND NOT ({INTERIORS})")
+def spatial_touches(spark, sf):
+    t = Tables(spark, sf)
+    return X.spatial_join(parcels(t), grid(t), how="inner", predicate="touches").select("c_custkey", "region_id")
+
+
+@query("spatial_overlaps", f"{SQL_SIZED} SELECT c_custkey, region_id FROM p JOIN g ON {INTERIORS} AND NOT ({WITHIN}) AND NOT ({CONTAINS})")
+def spatial_overlaps(spark, sf):
+    t = Tables(spark, sf)
+    return X.spatial_join(parcels(t), grid(t), how="inner", predicate="overlaps").select("c_custkey", "region_id")
+
+
+@query("spatial_contains", f"{SQL_SIZED} SELECT s_suppkey, region_id FROM b JOIN g ON {CONTAINS}")
+def spatial_contains(spark, sf):
+    t = Tables(spark, sf)
+    return X.spatial_join(estates(t), grid(t), how="inner", predicate="contains").select("s_suppkey", "region_id")
+
+
+@query(
+    "spatial_crosses",
+    f"""{SQL_PARCELS} SELECT c_custkey, region_id FROM p JOIN g ON x < gx + 1 AND x + 1.5 > gx AND y > gy AND y < gy + 1""",
+)
+def spatial_crosses(spark, sf):
+    """Trails longer than a region, partly inside it."""
+    t = Tables(spark, sf)
+    x, y = (F.col("c_acctbal") + 1000) / 2000, F.col("c_nationkey") / 5.0
+    ends = [F.struct(v.alias("x"), y.alias("y")) for v in (x, x + 1.5)]
+    trails = t.customer.select("c_custkey", G.line(*ends, srid=SRID_WORKING).alias("geometry"))
+    return X.spatial_join(trails, grid(t), how="inner", predicate="crosses").select("c_custkey", "region_id")
+
+
+@query(
+    "spatial_points_within",
+    f"{SQL_POINTS} SELECT region_id, COUNT(*) AS points FROM p JOIN g ON x > gx AND x < gx + 1 AND y > gy AND y < gy + 1 GROUP BY 1",
+)
+def spatial_points_within(spark, sf):
+    """Points on a border are within no region."""
+    t = Tables(spark, sf)
+    return X.spatial_join(line_points(t), grid(t), how="inner", predicate="within").groupBy("region_id").agg(F.count("*").alias("points"))
+
+
+SQL_STRIPS = """p AS (SELECT n_regionkey, c_custkey * 0.7 AS a, c_custkey * 0.7 + 1 AS b FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+@query(
+    "union_area",
+    f"""WITH {SQL_STRIPS}, m AS (SELECT *, MAX(b) OVER (PARTITION BY n_regionkey ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM p)
+SELECT n_regionkey, ROUND(SUM(2 * (b - GREATEST(a, COALESCE(LEAST(reached, b), a)))), 6) AS area FROM m GROUP BY 1""",
+)
+def union_area(spark, sf):
+    """Parcels two units high that overlap their neighbours of the same region: shared ground counts once."""
+    t = Tables(spark, sf)
+    x = F.col("c_custkey") * 0.7
+    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.select("n_regionkey", G.box(x, F.lit(0.0), x + 1, F.lit(2.0), SRID_WORKING).alias("geometry"))
+    return A.union_area(rows, by=["n_regionkey"]).withColumn("area", F.round("area", 6))
+
+
+@query(
+    "parts_sharing_ground",
+    "SELECT a.c_custkey AS c_custkey, a.c_custkey + 1 AS other FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1",
+)
+def parts_sharing_ground(spark, sf):
+    """Parcels one and a half units wide, two apart only touch: pairs with interiors in common."""
+    k = F.col("c_custkey")
+    parts = Tables(spark, sf).customer.select("c_custkey", G.box(k, k % 2 * 0.5, k + F.when(k % 2 == 0, 2.0).otherwise(1.5), F.lit(1.0), SRID_WORKING).alias("geometry"))
+    return X.overlapping_parts(parts, "c_custkey", touching=False)
+
+
+@query(
+    "dissolve_write_join",
+    """SELECT o_orderkey, n_name AS region_id FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE o_orderdate >= DATE '1998-01-01'""",
+)
+def dissolve_write_join(spark, sf):
+    """Parcels dissolved to one layer, written as GeoJSON, read again, and facilities joined to it by place."""
+    t = Tables(spark, sf)
+    whole = Y.dissolve(strip_parcels(t), "region_id", ["c_custkey"], ["c_mktsegment"])
+    path = writers.write_features(whole, f"{shared_folder(spark)}/dissolved-{uuid.uuid4()}.geojson")
+    layer = boundary_features(read_features(spark, path), "region_id")
+    orders = t.orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("date"))
+    places = orders.select("o_orderkey", G.point(F.col("o_custkey") + 0.5, F.lit(0.5), SRID_WORKING).alias("geometry"))
+    return X.spatial_join(places, layer, how="inner").select("o_orderkey", "region_id")
+
+
+@query(
+    "outline_problems",
+    """SELECT c_mktsegment, CASE c_nationkey % 5 WHEN 0 THEN 'self-intersection' WHEN 1 THEN 'spike' WHEN 2 THEN 'touching ring' WHEN 3 THEN 'overlapping edges' ELSE 'ok' END AS problem,
+COUNT(*) AS n FROM customer GROUP BY 1, 2""",
+)
+def outline_problems(spark, sf):
+    """Bow-ties, spikes, rings that come back to a point and holes along the outline, one size for each customer."""
+    s = 1 + F.col("c_custkey") % 97
+
+    def ring(*spots):
+        return F.array(*[F.struct((x * s).cast("double").alias("x"), (y * s).cast("double").alias("y")) for x, y in spots])
+
+    box = ((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))
+    bow = ring((0, 0), (4, 4), (4, 0), (0, 4), (0, 0))
+    spike = ring((0, 0), (4, 0), (4, 4), (7, 4), (4, 4), (0, 4), (0, 0))
+    touching = ring((0, 0), (2, 2), (4, 0), (4, 4), (2, 2), (0, 4), (0, 0))
+    hole = ring((0, 1), (1, 1), (1, 2), (0, 2), (0, 1))
+    kind = F.col("c_nationkey") % 5
+    shape = F.when(kind == 0, F.array(bow)).when(kind == 1, F.array(spike)).when(kind == 2, F.array(touching))
+    shape = shape.when(kind == 3, F.array(ring(*box), hole)).otherwise(F.array(ring(*box)))
+    value = F.struct(F.lit(SRID_WORKING).alias("srid"), F.lit("polygon").alias("kind"), F.array(shape).alias("polygons"))
+    rows = Tables(spark, sf).customer.select("c_mktsegment", value.alias("geometry"))
+    return X.audit_geometry(rows, by=["c_mktsegment"])
