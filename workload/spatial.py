@@ -402,7 +402,7 @@ SQL_STRIPS = """p AS (SELECT n_regionkey, c_custkey * 0.7 AS a, c_custkey * 0.7
 @query(
     "union_area",
     f"""WITH {SQL_STRIPS}, m AS (SELECT *, MAX(b) OVER (PARTITION BY n_regionkey ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM p)
-SELECT n_regionkey, ROUND(SUM(2 * (b - GREATEST(a, COALESCE(LEAST(reached, b), a)))), 6) AS area FROM m GROUP BY 1""",
+SELECT n_regionkey, ROUND(CAST(SUM(2 * (b - GREATEST(a, LEAST(COALESCE(reached, a), b)))) AS DOUBLE), 6) AS area FROM m GROUP BY 1""",
 )
 def union_area(spark, sf):
     """Parcels two units high that overlap their neighbours of the same region: shared ground counts once."""
