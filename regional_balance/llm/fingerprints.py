@@ -10,6 +10,8 @@ the last one of the range below, found from ids alone; texts are shuffled once a
 
 Null text counts as empty; an empty text has the empty fingerprint, contained fully in any other, and nothing but an
 empty one is contained in it. Null doc_ids come after all others, equal ids are ordered by text. The only row of a table is its own next.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations

@@ -15,6 +15,8 @@ the language, each judged by a model that has not seen its text (of the other fo
 trusted texts of a language fall in one fold. Null text counts as empty (the end mark alone); null languages are one language. Where a
 language has no trusted text there is no model: perplexity and threshold are null and documents are kept. Repeated rows
 are scored alike. A trusted row repeated in the labels counts once.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations

@@ -12,6 +12,8 @@ running sums need no window over a whole source.
 
 Null text has size 0 and null sources are one source, the last. Repeated rows (same doc_id, source and text) are one
 unit with a multiplicity, drawn alike. Documents of size 0 take no words and are drawn in whole passes only.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations

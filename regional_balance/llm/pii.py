@@ -7,7 +7,8 @@ running sum over the matches.
 Base kinds stand by their own checks alone. Further kinds need a score of ``threshold``: a prior, more if a checksum
 holds, more if a context word is within 40 characters of the text before or after, other matches
 included. A null text has no spans; empty texts, ties and repeated rows
-need no care, since each row is judged by itself.
+need no care, since each row is judged by itself, and an empty table gives an empty one. Other columns are carried by
+``with_spans`` and ``mask`` whatever their names. Time is in proportion to a text's length, however many spans it has.
 """
 
 from __future__ import annotations
@@ -23,6 +24,22 @@ from regional_balance.llm.common import free_name, text_column
 CONTEXT_CHARS = 40
 #: Spans are gathered in runs of this length, so that a text with very many of them takes linear time.
 RUN = 256
+#: Characters of a block of text. Parts of a text are cut from its blocks, since to find a position a whole text is walked.
+BLOCK = 512
+
+
+def blocks_of(text: Column) -> Column:
+    """A text as an array of blocks of code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), 0)
+
+
+def cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Characters from ``start`` to before ``end``, which may lie outside the text; empty if there are none."""
+    start = F.greatest(start, F.lit(0))
+    first = F.floor(start / BLOCK).cast("int")
+    last = F.floor((end - 1) / BLOCK).cast("int")
+    held = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    return F.when(end > start, F.substr(held, start - first * BLOCK + 1, end - start)).otherwise(F.lit(""))
 
 
 def digits(found: Column) -> Column:
@@ -136,47 +153,58 @@ KINDS = BASE + FURTHER
 CONTEXT_SCORE = 0.3
 
 
-def spans_of(text: Column, found: Column, kind: Kind, threshold: float) -> Column:
+def walked(items: Column, item: str, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
+    """Array of the items that a walk over ``items`` makes: ``step`` takes the place reached and an element and gives the new
+    place, the item (of SQL type ``item``) and whether it is one."""
+    empty = F.array().cast(f"array<{item}>")
+    state = F.struct(F.lit(0).alias("at"), empty.alias("run"), F.array().cast(f"array<array<{item}>>").alias("full"))
+
+    def add(acc: Column, x: Column) -> Column:
+        at, one, stands = step(acc["at"], x)
+        run = F.when(stands, F.array_append(acc["run"], one)).otherwise(acc["run"])
+        turn = F.size(acc["run"]) >= RUN
+        return F.struct(
+            at.alias("at"),
+            F.when(turn & stands, F.array(one)).when(turn, empty).otherwise(run).alias("run"),
+            F.when(turn, F.array_append(acc["full"], acc["run"])).otherwise(acc["full"]).alias("full"),
+        )
+
+    return F.aggregate(items, state, add, lambda acc: F.flatten(F.array_append(acc["full"], acc["run"])))
+
+
+def spans_of(text: Column, blocks: Column, found: Column, kind: Kind, threshold: float) -> Column:
     """Array of (kind, start, end, score) of the matches that stand; ``found`` are the matches in order."""
     n = F.size(found)
     gaps = F.split(text, kind.pattern, -1)
     pieces = F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), n).alias("before"))
     span = "struct<kind:string,start:int,end:int,score:double>"
-    empty = F.array().cast(f"array<{span}>")
-    state = F.struct(F.lit(0).alias("at"), empty.alias("run"), F.array().cast(f"array<array<{span}>>").alias("full"))
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["before"])
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        start = at + F.length(x["before"])
         end = start + F.length(x["found"])
         confirmed = F.lit(True) if kind.confirm is None else kind.confirm(x["found"])
         score = F.lit(kind.prior)
         if kind.context:
-            from_left = F.substr(text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT_CHARS)))
-            near = F.concat_ws(" ", from_left, F.substr(text, end + 1, F.lit(CONTEXT_CHARS)))
+            near = F.concat_ws(" ", cut(blocks, start - CONTEXT_CHARS, start), cut(blocks, end, end + CONTEXT_CHARS))
             score = score + F.when(confirmed & F.lower(near).rlike(rf"\b(?:{kind.context})"), CONTEXT_SCORE).otherwise(0.0)
         stands = confirmed
         if not kind.base:
             stands = stands & (score >= threshold)
         one = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        run = F.when(stands, F.array_append(acc["run"], one)).otherwise(acc["run"])
-        turn = F.size(acc["run"]) >= RUN
-        return F.struct(
-            end.alias("at"),
-            F.when(turn & stands, F.array(one)).when(turn, empty).otherwise(run).alias("run"),
-            F.when(turn, F.array_append(acc["full"], acc["run"])).otherwise(acc["full"]).alias("full"),
-        )
+        return end, one, stands
 
-    walked = F.aggregate(pieces, state, add, lambda acc: F.flatten(F.array_append(acc["full"], acc["run"])))
-    return F.when(n > 0, walked).otherwise(empty)
+    return F.when(n > 0, walked(pieces, span, step)).otherwise(F.array().cast(f"array<{span}>"))
 
 
 def with_spans(docs: DataFrame, out: str, threshold: float = 0.5) -> DataFrame:
     """``docs`` with ``out``: array of (kind, start, end, score), by kind as listed, then start; end is exclusive."""
     text = text_column()
     found = {k.name: free_name(docs, f"found_{k.name}") for k in KINDS}
-    rows = docs.withColumns({found[k.name]: F.regexp_extract_all(text, F.lit(k.pattern), 0) for k in KINDS})
-    spans = [spans_of(text, F.col(found[k.name]), k, threshold) for k in KINDS]
-    return rows.withColumn(out, F.concat(*spans)).drop(*found.values())
+    blocks = free_name(docs, "text_blocks")
+    made = {found[k.name]: F.regexp_extract_all(text, F.lit(k.pattern), 0) for k in KINDS}
+    rows = docs.withColumns({**made, blocks: blocks_of(text)})
+    spans = [spans_of(text, F.col(blocks), F.col(found[k.name]), k, threshold) for k in KINDS]
+    return rows.withColumn(out, F.concat(*spans)).drop(blocks, *found.values())
 
 
 def is_kind(*names: str) -> Callable[[Column], Column]:
@@ -205,18 +233,20 @@ def mask(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """
     name = free_name(docs, "all_spans")
     rows = with_spans(docs, name, threshold)
-    text = F.col("text")
     ordered = F.array_sort(F.transform(F.col(name), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
-    def put(acc: Column, x: Column) -> Column:
-        kept = F.substr(text, acc["at"] + 1, x["start"] - acc["at"])
-        fresh = F.concat(acc["done"], kept, F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], fresh).otherwise(acc["done"]).alias("done")
-        )
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        part = F.struct(at.alias("start"), x["start"].alias("end"), x["kind"].alias("kind"))
+        return F.greatest(at, x["end"]), part, x["start"] >= at
+
+    def put(blocks: Column) -> Column:
+        kept = walked(ordered, "struct<start:int,end:int,kind:string>", step)
+        pieces = F.transform(kept, lambda p: F.concat(cut(blocks, p["start"], p["end"]), F.lit("["), F.upper(p["kind"]), F.lit("]")))
+        rest = F.array_max(F.transform(F.col(name), lambda x: x["end"]))
+        return F.concat(F.array_join(pieces, ""), cut(blocks, rest, F.size(blocks) * BLOCK))
 
-    masked = F.aggregate(ordered, state, put, lambda acc: F.concat(acc["done"], F.substr(text, acc["at"] + 1)))
+    # Through a one-element array, so that the blocks are made once and not for every piece.
+    masked = F.transform(F.array(blocks_of(text_column())), put)[0]
     fresh = free_name(rows, "masked_text")
     rows = rows.withColumn(fresh, F.when(F.size(name) > 0, masked))
     new = {"text": F.coalesce(fresh, "text")}

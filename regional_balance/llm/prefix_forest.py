@@ -229,7 +229,9 @@ def build_forest(rows: DataFrame, largest: float, n: int, trees: int = TREES, se
     hashed_schema = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("dim", pa.int32()), ("first", pa.int64()), ("codes", pa.binary())])
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     block_schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _BLOCK.split(", ")])
-    dealt = hashed.repartitionByRange(max(1, -(-n // BLOCK_ROWS)), "dim", "first", "vec_id")
+    wanted = max(1, -(-n // BLOCK_ROWS))
+    # Where a session deals out more ranges than are wanted, neighbouring ones make a block together.
+    dealt = hashed.repartitionByRange(wanted, "dim", "first", "vec_id").coalesce(wanted)
     forest, _ = stored(dealt.mapInArrow(blocks, _BLOCK), "forest-blocks")
     return forest
 

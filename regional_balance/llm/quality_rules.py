@@ -9,6 +9,8 @@ squared distance exceeds the cutoff.
 
 Null text counts as no words and fails the base rule; null languages and sources are groups of their own. Repeated rows
 are judged alike. Where fewer than ``least_rows`` rows pass the base rule in all, the base rule alone decides.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations

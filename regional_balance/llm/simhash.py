@@ -12,6 +12,8 @@ pairs of the same component are passed over. Every pair within the distance is i
 
 A text without words (null, empty, white space) has fingerprint zero and is linked like any other. Repeated rows and
 repeated doc_ids are kept as rows; a null doc_id gets its component but never names one if another id is in it.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations

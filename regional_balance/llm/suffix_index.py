@@ -1,8 +1,9 @@
 """Removal of repeated byte strings with a logarithmic family of suffix indexes.
 
 A window is a string of ``length`` bytes inside one text. The index holds a sparse suffix array: of all suffixes of a
-text only those at anchors (see ``suffixes``), one for each run of window starts that share their anchor, ordered by the
-hash of the suffix's first 32 bytes and the hash of all bytes the run covers. New batches of texts get such an array,
+text only those at anchors (see ``suffixes``), one for each run of window starts that share their anchor. Suffixes are named by the
+hash of their first 32 bytes and the hash of all bytes the run covers and matched by these names: hashing takes the place of
+byte order, which equal strings of a fixed length do not need. New batches of texts get such an array,
 whose keys are matched with those of every level of the family; then it becomes a level, and levels of equal size are
 merged at once into one of the next size, so that n batches leave log n levels and each entry is rewritten log n times
 at most. Matches are kept as keys, and a merged level's parts are deleted: each entry is on disk once between batches.
@@ -14,6 +15,8 @@ for each window is dealt out by its hash, so that no group of any size has to fi
 
 Windows are judged on the input. Null text counts as empty; texts shorter than a window have none and stay whole.
 Rows with the same doc_id and text are repeats of each other. Nothing matches across texts.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations

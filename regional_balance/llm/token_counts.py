@@ -7,6 +7,8 @@ the text cut there; sums over pieces give the count of any prefix of a text, so
 no second encoding. Pieces are remembered per worker in a table of bounded size (it saves time, not results).
 
 A null text has no tokens. The count is a projection of the scan without any shuffle.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations

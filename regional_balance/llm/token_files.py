@@ -9,6 +9,8 @@ task as segments of about ``segment_tokens`` ids; a segment (one file image, col
 their directory. Segments are rows of a Parquet table, so commit and recovery are those of Spark's writer.
 
 A null text counts as empty; such a document holds the end id alone. Repeated rows are separate documents.
+
+An empty table gives an empty result, and other columns of any name do no harm.
 """
 
 from __future__ import annotations
