@@ -7,6 +7,10 @@
 5. byte-level BPE    token ids, decoded again as a check
 
 All but the last return the columns of ``documents``. Every stage works on all rows of the one before.
+
+A null text is an empty one throughout and stays null until it is encoded; rows without an id are rows like others. Repeated rows are exact
+copies, of which one stays. An empty table passes through all stages as one. Other columns are carried, whatever their names; a text of any length is worked on
+whole, by one task.
 """
 
 from __future__ import annotations
