@@ -83,7 +83,8 @@ class Folder:
 def staged(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
     """Let ``write`` fill a hidden folder beside ``path`` and move that there when it is complete: until then, and if the job
     fails, the old one stays."""
-    parent, name = path.rstrip("/").rsplit("/", 1)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    parent = parent or "."
     fresh = f"{parent}/_staged-{name}-{uuid.uuid4().hex}"
     try:
         write(fresh)
