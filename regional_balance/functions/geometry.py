@@ -7,6 +7,8 @@ outline, the others are holes. Points and lines use the same nesting: each point
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ AREAS, LINES, POINTS = ("polygon", "multipolygon"), ("linestring", "multilinestr
 KINDS = (*AREAS, *LINES, *POINTS)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once however often ``use`` names it: columns are text that is put in everywhere."""
+    return F.transform(F.array(value), use)[0]
+
+
 def point(x: Column, y: Column, srid: int = S.SRID_LONLAT) -> Column:
     vertex = F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     value = F.struct(
@@ -323,8 +330,11 @@ def from_geojson(kind: Column, coordinates: Column, srid: Column) -> Column:
         .when(kind == "Polygon", F.array(polygon_rings(parsed(depth["Polygon"]))))
         .when(kind == "MultiPolygon", F.transform(parsed(depth["MultiPolygon"]), polygon_rings))
     )
-    value = F.struct(srid.cast("int").alias("srid"), F.lower(kind).alias("kind"), polys.alias("polygons"))
-    return F.when(polys.isNotNull(), value)
+
+    def value(polys: Column) -> Column:
+        return F.when(polys.isNotNull(), F.struct(srid.cast("int").alias("srid"), F.lower(kind).alias("kind"), polys.alias("polygons")))
+
+    return once(polys, value)
 
 
 def to_geojson(g: Column) -> Column:

@@ -47,13 +47,22 @@ class Grid:
         return F.ceil(F.ln(extent) / F.lit(_LN8)).cast("int")
 
     def level_of(self, g: Column) -> Column:
-        """The level of a geometry, from its largest part and the number of its edges."""
+        """The level of a geometry, from its largest part and the number of its edges on as much ground as that takes.
+
+        Edges of parts elsewhere do not crowd a cell, so a geometry of many small parts has cells as large as they are and
+        the number of its cells keeps in proportion to that of its edges.
+        """
         if self.side is not None:
             return F.lit(0)
         extents = F.transform(G.part_boxes(g), lambda b: F.greatest(b["x2"] - b["x1"], b["y2"] - b["y1"], F.lit(_SMALLEST)))
-        extent, crowd = F.array_max(extents), F.size(G.vertices(g)) / F.lit(float(CELL_EDGES))
-        detailed = F.round((F.ln(extent) - F.ln(crowd) / 2) / F.lit(_LN8))
-        return F.when(crowd > 1, detailed).otherwise(F.ceil(F.ln(extent) / F.lit(_LN8))).cast("int")
+
+        def level(extents: Column, extent: Column) -> Column:
+            ground = F.aggregate(extents, F.lit(0.0), lambda s, e: s + (e / extent) * (e / extent))
+            crowd = F.size(G.vertices(g)) / F.lit(float(CELL_EDGES)) / ground
+            detailed = F.round((F.ln(extent) - F.ln(crowd) / 2) / F.lit(_LN8))
+            return F.when(crowd > 1, detailed).otherwise(F.ceil(F.ln(extent) / F.lit(_LN8))).cast("int")
+
+        return G.once(extents, lambda all: G.once(F.array_max(all), lambda largest: level(all, largest)))
 
     def size(self, level: Column) -> Column:
         if self.side is None:

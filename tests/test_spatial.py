@@ -273,3 +273,16 @@ def test_parts_lines_and_multipoints_meet_areas(spark):
     read = G.from_geojson(F.get_json_object(back, "$.type"), F.get_json_object(back, "$.coordinates"), F.lit(W))
     assert src.filter(~read["polygons"].eqNullSafe(g["polygons"])).count() == 0
     assert src.select(F.sum(G.area(g))).first()[0] == 2.0 and src.filter(G.problem(g).isNotNull()).count() == 0
+
+
+def test_far_parts_do_not_crowd_cells(spark):
+    """Cells of a geometry of many small parts keep in proportion to its parts, and a crowded outline still gets small ones."""
+    parts = [geom([square(3.0 * k, 0.0)])[2][0] for k in range(2000)]
+    tgt = layer(spark, [("many", (W, "multipolygon", parts))])
+    assert X.region_cells(tgt, X.Grid(), "region_id").count() <= 4 * len(parts)
+    spots = [(1, point(3000.5, 0.5)), (2, point(3002.0, 0.5)), (3, point(5998.0, 1.0))]
+    assert {r.i for r in X.spatial_join(layer(spark, spots, "i int"), tgt, how="inner").collect()} == {1, 3}
+    big = [geom([square(0.0, 10.0, 1000.0)])[2][0]]
+    mixed = layer(spark, [("mixed", (W, "multipolygon", [*parts, *big]))])
+    held = X.region_cells(mixed, X.Grid(), "region_id").agg(F.count("*"), F.max(F.size("_te"))).first()
+    assert held[0] <= 4 * len(parts) and held[1] < 300

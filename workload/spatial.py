@@ -17,7 +17,7 @@ from regional_balance.operators import supply as U
 from regional_balance.operators import validate as V
 from regional_balance.plans.alignment import align_to_geography, score_aligned
 from regional_balance.schema import SRID_LONLAT, SRID_WORKING, ScoreParams
-from regional_balance.session import shared_folder
+from regional_balance.session import settle, shared_folder
 from regional_balance.sinks import writers
 from regional_balance.sources.features import boundary_features, boundary_rows, read_features, rejected_lines
 from workload.registry import Tables, money, query, rounded, sql_need
@@ -434,7 +434,8 @@ def dissolve_write_join(spark, sf):
     t = Tables(spark, sf)
     whole = Y.dissolve(strip_parcels(t), "region_id", ["c_custkey"], ["c_mktsegment"])
     path = writers.write_features(whole, f"{shared_folder(spark)}/dissolved-{uuid.uuid4()}.geojson")
-    layer = boundary_features(read_features(spark, path), "region_id")
+    # The join reads its regions several times: one value for each, which is long text to read.
+    layer = settle(boundary_features(read_features(spark, path), "region_id"))
     orders = t.orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("date"))
     places = orders.select("o_orderkey", G.point(F.col("o_custkey") + 0.5, F.lit(0.5), SRID_WORKING).alias("geometry"))
     return X.spatial_join(places, layer, how="inner").select("o_orderkey", "region_id")
