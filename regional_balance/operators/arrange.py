@@ -40,9 +40,13 @@ def _crossings(e: Column, f: Column) -> Column:
     dx, dy, fx, fy = e["x2"] - e["x1"], e["y2"] - e["y1"], f["x2"] - f["x1"], f["y2"] - f["y1"]
     by = dx * fy - dy * fx
     ox, oy = f["x1"] - e["x1"], f["y1"] - e["y1"]
-    safe = F.when(by != 0, by).otherwise(F.lit(1.0))
-    t, u = (ox * fy - oy * fx) / safe, (ox * dy - oy * dx) / safe
-    return F.when((by != 0) & t.between(0, 1) & u.between(0, 1), e["x1"] + t * dx)
+
+    def met(by: Column) -> Column:
+        safe = F.when(by != 0, by).otherwise(F.lit(1.0))
+        t, u = (ox * fy - oy * fx) / safe, (ox * dy - oy * dx) / safe
+        return F.when((by != 0) & t.between(0, 1) & u.between(0, 1), e["x1"] + t * dx)
+
+    return G.once(by, met)
 
 
 def _at(e: Column, x: Column) -> Column:
@@ -57,31 +61,40 @@ def covered_area(shapes: Column, cell: P.Cell) -> Column:
     The cell is cut into slabs where an edge ends, two edges cross or one leaves the cell above or below. Within a slab what
     is covered of a vertical line changes linearly, so its length in the middle times the slab's width is the area.
     """
-    edges = F.flatten(F.transform(shapes, lambda s: s["edges"]))
     corner = lambda a, b: F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2"))
     sides = F.array(*[corner((cell.x1, y), (cell.x2, y)) for y in (cell.y1, cell.y2)])
-    meet = F.flatten(F.transform(edges, lambda e: F.transform(F.concat(edges, sides), lambda f: _crossings(e, f))))
-    ends = F.flatten(F.transform(edges, lambda e: F.array(e["x1"], e["x2"])))
-    cuts = F.filter(F.concat(ends, meet), lambda x: (x > cell.x1) & (x < cell.x2))
-    cuts = F.array_sort(F.array_distinct(F.concat(F.array(cell.x1, cell.x2), cuts)))
-    n = F.size(cuts) - 1
-    slabs = F.zip_with(F.slice(cuts, F.lit(1), n), F.slice(cuts, F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+    def cuts_of(edges: Column) -> Column:
+        meet = G.once(F.concat(edges, sides), lambda others: F.flatten(F.transform(edges, lambda e: F.transform(others, lambda f: _crossings(e, f)))))
+        ends = F.flatten(F.transform(edges, lambda e: F.array(e["x1"], e["x2"])))
+        cuts = F.filter(F.concat(ends, meet), lambda x: (x > cell.x1) & (x < cell.x2))
+        return F.array_sort(F.array_distinct(F.concat(F.array(cell.x1, cell.x2), cuts)))
+
+    def slabs_of(cuts: Column) -> Column:
+        n = F.size(cuts) - 1
+        slab = lambda a, b: F.struct((b - a).alias("wide"), ((a + b) / 2).alias("x"))
+        return F.zip_with(F.slice(cuts, F.lit(1), n), F.slice(cuts, F.lit(2), n), slab)
 
     def runs(shape: Column, x: Column) -> Column:
         """The parts of the line at x that a shape covers, as (lo, hi)."""
         spanning = F.filter(shape["edges"], lambda e: (e["x1"] > x) != (e["x2"] > x))
         heights = F.array_sort(F.filter(F.transform(spanning, lambda e: _at(e, x)), lambda y: (y > cell.y1) & (y < cell.y2)))
-        # Between the bottom and the first edge above it there is no edge that the place could lie on.
-        first = F.coalesce(F.get(heights, F.lit(0)), cell.y2)
-        at_bottom = P.inside(shape["edges"], shape["middle"], x, (cell.y1 + first) / 2, cell)
-        at_top = at_bottom != (F.size(heights) % 2 == 1)
-        bounds = F.concat(
-            F.when(at_bottom, F.array(cell.y1)).otherwise(F.array().cast("array<double>")),
-            heights,
-            F.when(at_top, F.array(cell.y2)).otherwise(F.array().cast("array<double>")),
-        )
-        firsts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(bounds) - 1, F.lit(0))), lambda k: (k % 2 == 0) & (k + 1 < F.size(bounds)))
-        return F.transform(firsts, lambda k: F.struct(bounds[k].alias("lo"), bounds[k + 1].alias("hi")))
+        none = F.array().cast("array<double>")
+
+        def at_bottom(heights: Column) -> Column:
+            # Between the bottom and the first edge above it there is no edge that the place could lie on.
+            first = F.coalesce(F.get(heights, F.lit(0)), cell.y2)
+            return G.once((cell.y1 + first) / 2, lambda y: P.inside(shape["edges"], shape["middle"], x, y, cell))
+
+        def bounds(heights: Column, bottom: Column) -> Column:
+            top = bottom != (F.size(heights) % 2 == 1)
+            return F.concat(F.when(bottom, F.array(cell.y1)).otherwise(none), heights, F.when(top, F.array(cell.y2)).otherwise(none))
+
+        def pairs(bounds: Column) -> Column:
+            firsts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(bounds) - 1, F.lit(0))), lambda k: (k % 2 == 0) & (k + 1 < F.size(bounds)))
+            return F.transform(firsts, lambda k: F.struct(bounds[k].alias("lo"), bounds[k + 1].alias("hi")))
+
+        return G.once(heights, lambda h: G.once(G.once(at_bottom(h), lambda b: bounds(h, b)), pairs))
 
     def length(x: Column) -> Column:
         every = F.array_sort(F.flatten(F.transform(shapes, lambda s: runs(s, x))))
@@ -93,7 +106,8 @@ def covered_area(shapes: Column, cell: P.Cell) -> Column:
 
         return F.aggregate(every, start, add, lambda acc: acc["sum"])
 
-    parts = F.transform(slabs, lambda s: (s["b"] - s["a"]) * length((s["a"] + s["b"]) / 2))
+    slabs = G.once(G.once(F.flatten(F.transform(shapes, lambda s: s["edges"])), cuts_of), slabs_of)
+    parts = F.transform(slabs, lambda s: s["wide"] * length(s["x"]))
     return F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
 
 
@@ -186,9 +200,15 @@ def self_contacts(df: DataFrame, geometry: str = "geometry", grid: Grid = Grid()
         .when(along, 1)
         .when(one_ring & G.edges_meet(e, f), 3)
     )
-    x = F.coalesce(_crossings(e, f), F.when(after, e["x2"]).when(around, e["x1"]).otherwise(F.greatest(F.least(e["x1"], e["x2"]), F.least(f["x1"], f["x2"]))))
+    # A spike starts where the shorter of its two edges does.
+    length = lambda g: F.hypot(g["x2"] - g["x1"], g["y2"] - g["y1"])
+    shorter = length(e) <= length(f)
+    foot = {
+        c: F.when(after, F.when(shorter, e[f"{c}1"]).otherwise(f[f"{c}2"])).when(around, F.when(shorter, e[f"{c}2"]).otherwise(f[f"{c}1"])) for c in "xy"
+    }
+    x = F.coalesce(_crossings(e, f), foot["x"], F.greatest(F.least(e["x1"], e["x2"]), F.least(f["x1"], f["x2"])))
     y = F.when(crossed & (e["x1"] != e["x2"]), _at(e, x)).when(crossed, _at(f, x))
-    y = F.coalesce(y, F.when(after, e["y2"]).when(around, e["y1"]).otherwise(F.greatest(F.least(e["y1"], e["y2"]), F.least(f["y1"], f["y2"]))))
+    y = F.coalesce(y, foot["y"], F.greatest(F.least(e["y1"], e["y2"]), F.least(f["y1"], f["y2"])))
     found = met.withColumn("kind", kind).filter(F.col("kind").isNotNull())
     worst = found.groupBy("_name").agg(F.min(F.struct("kind", x.alias("x"), y.alias("y"))).alias("w"))
     return worst.select("_name", F.array(*[F.lit(r) for r in _REASONS])[F.col("w.kind")].alias("problem"), "w.x", "w.y")

@@ -145,3 +145,8 @@ def test_dissolved_geometry(spark):
 def test_dissolving_nothing(spark):
     assert R.dissolve_geometry(layer(spark, [("a", None)]), "region_id").count() == 0
     assert R.dissolve(layer(spark, [("a", None)]), "region_id", ["region_id"]).first().geometry is None
+
+
+def test_cuts_of_a_cell_are_computed_once(spark, plan):
+    df = layer(spark, [(1, geom([square(0, 0)]))], "k int")
+    assert plan(A.union_area(df, cell_size=1.0)).count("array_distinct") == 1
