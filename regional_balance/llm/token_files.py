@@ -15,7 +15,7 @@ An empty table gives an empty result, and other columns of any name do no harm.
 
 from __future__ import annotations
 
-import contextlib
+import codecs
 import functools
 import itertools
 import os
@@ -26,19 +26,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regional_balance.llm.common import free_name, partitions, slices, store, text_column, texts
+from regional_balance.llm.common import free_name, partitions, slices, store, text_column
 
 MAGIC = b"DAC1"
 BLOCK = 512  # bits per entry of a rank directory
-REMEMBERED = 600_000
+REMEMBERED, REMEMBERED_PIECES = 600_000, 100_000
+
+#: Bytes of text whose words are looked up together.
+PORTION = 4 << 20
 
 #: Control characters of which definitions of white space differ.
 _UNSURE = re.compile("[\x1c-\x1f\x85]")
 
+#: A pre-token of letters, and one of marks after it or none: words that need no look at the whole split.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
 #: The split of the byte-level pre-tokenizer (fixed value).
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -123,23 +130,53 @@ def documents_of(image: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
         yield int(raw[k]) if known[k] else None, ids[ends[k - 1] if k else 0 : ends[k]]
 
 
+class Pieces(dict):
+    """Ids of a pre-token, as little-endian unsigned 32-bit integers; computed by the library's model when first asked for."""
+
+    def __init__(self, model, letters: str, size: int):
+        super().__init__()
+        self.tokenize, self.letters = model.tokenize, letters
+        self.codes = [i.to_bytes(4, "little") for i in range(size)]
+
+    def ids(self, piece: str) -> bytes:
+        return self.of_letters(codecs.charmap_decode(piece.encode(), "strict", self.letters)[0])
+
+    def of_letters(self, shown: str) -> bytes:
+        """Ids of a pre-token given as one letter for each of its bytes."""
+        codes = self.codes
+        return b"".join([codes[t.id] for t in self.tokenize(shown)])
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.ids(piece)
+        if len(self) >= REMEMBERED_PIECES:
+            self.clear()
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+
 class Words(dict):
-    """Ids of a word with the space before it; computed by the library's model when first asked for.
+    """Ids of a word with the space before it, put together from those of its pre-tokens when first asked for.
 
     A word that ends in white space has no ids here: the cut after it would not be one of the pre-tokenizer's.
     """
 
-    def __init__(self, model, split: regex.Pattern, letters: list[str]):
+    def __init__(self, pieces: Pieces, split: regex.Pattern):
         super().__init__()
-        self.model, self.split, self.letters = model, split, letters
+        self.pieces, self.split, self.space = pieces, split, pieces.letters[32]
 
     def __missing__(self, word: str) -> bytes | None:
         ids = None
-        if word and not word[-1].isspace() and not _UNSURE.search(word):
-            letters, ids = self.letters, b""
-            for piece in self.split.findall(" " + word):
-                shown = "".join([letters[b] for b in piece.encode()])
-                ids += b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        if word.isascii() and word.isalpha():  # such letters stand for themselves
+            ids = self.pieces.of_letters(self.space + word)
+        elif plain := _PLAIN.fullmatch(word):
+            letters, marks = plain.groups()
+            ids = self[letters] + self.pieces[marks] if marks else self.pieces.ids(" " + letters)
+        elif word and not word[-1].isspace() and not _UNSURE.search(word):
+            first, *rest = self.split.findall(" " + word)
+            # Its first pre-token is most often a word that also stands alone.
+            ids = self[first[1:]] if rest and not first.isspace() else self.pieces.ids(first)
+            ids += b"".join([self.pieces[piece] for piece in rest])
         if len(self) >= REMEMBERED:
             self.clear()
         if len(word) <= 64:
@@ -158,23 +195,49 @@ class Encoder:
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         spare = itertools.count(256)
-        self.words = Words(self.library.model, _SPLIT, [chr(b) if b in shown else chr(next(spare)) for b in range(256)])
+        letters = "".join([chr(b) if b in shown else chr(next(spare)) for b in range(256)])
+        self.words = Words(Pieces(self.library.model, letters, max(self.library.get_vocab().values()) + 1), _SPLIT)
+
+    def first(self, word: str) -> bytes | None:
+        """Ids of the first word of a text, which has no space before it."""
+        if word and (word[-1].isspace() or _UNSURE.search(word)):
+            return None
+        return b"".join([self.words.pieces[piece] for piece in _SPLIT.findall(word)])
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers.
+        """Ids of one text as little-endian unsigned 32-bit integers."""
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, column: pa.Array) -> list[bytes]:
+        """Ids of each text; the words that the texts share are looked up once for all of them.
 
         A space after a visible character starts a new pre-token whatever surrounds it, so a text is cut there and
         each word encoded once. Texts in which that does not hold everywhere go to the library in one piece.
         """
-        if text and not any(s in text for s in self.specials):
-            words = (" " + text if text[0] != " " else text).split(" ")[1:]
-            first = self.library.encode(text[: len(words[0])], add_special_tokens=False).ids if text[0] != " " else None
-            if first is None or words[0] and not words[0][-1].isspace() and not _UNSURE.search(words[0]):
-                with contextlib.suppress(TypeError):  # a word without ids
-                    if first is None:
-                        return b"".join(map(self.words.__getitem__, words))
-                    return np.array(first, "<u4").tobytes() + b"".join(map(self.words.__getitem__, words[1:]))
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        lists = pc.split_pattern(column, " ")
+        special = np.zeros(len(column), bool)
+        for s in self.specials:
+            special |= pc.match_substring(column, s).to_numpy(zero_copy_only=False)
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places, ends = coded.indices.to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())
+        after_space = np.zeros(len(distinct), bool)
+        after_space[np.delete(places, np.concatenate(([0], ends[:-1])))] = True
+        found = [self.words[word] if spaced else None for word, spaced in zip(distinct, after_space.tolist())]
+        out, at = [], 0
+        for k, end in enumerate(ends.tolist()):
+            ids = None if special[k] else self.first(distinct[places[at]])
+            rest, at = places[at + 1 : end], end
+            if ids is not None:
+                try:
+                    ids += b"".join(map(found.__getitem__, rest.tolist()))
+                except TypeError:  # a word without ids
+                    ids = None
+            out.append(self.whole(column[k].as_py()) if ids is None else ids)
+        return out
 
 
 @functools.cache
@@ -182,6 +245,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def portions(batch: pa.RecordBatch, name: str, size: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``size`` bytes of text each, one row at least."""
+    ends, at = np.cumsum(pc.binary_length(batch.column(name)).to_numpy().astype(np.int64)), 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def write_token_files(docs: DataFrame, path: str, end_id: int = 0, segment_tokens: int = 1 << 20) -> DataFrame:
     """Encode documents into segment files in the shared folder and return the table of segments.
 
@@ -209,10 +282,9 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 0, segment_token
                 [pa.array(v, t) for v, t in zip(values, kinds)], ["part", "seq", "n_docs", "n_tokens", "image"]
             )
 
-        for batch in slices(batches):
+        for batch in (portion for batch in batches for portion in portions(batch, text)):
             part = batch.column("part")[0].as_py()
-            for doc, found in zip(batch.column(key).to_pylist(), texts(batch, text)):
-                ids = enc.encode(found)
+            for doc, ids in zip(batch.column(key).to_pylist(), enc.encode_all(batch.column(text))):
                 doc_ids.append(doc)
                 encoded.append(ids + end)
                 held += len(ids) // 4 + 1

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -73,6 +74,31 @@ def test_encoder_equals_library():
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_texts_encoded_together():
+    path = P.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), token_files.Encoder(path)
+    known = ["ÀÉÿ×é", "a'b'", "x^_`{|}~", "naïve's...", "ﬁne,", "été.\nÊtre,", "word--", "º.", "\nword", ""]
+    rnd = random.Random(7)
+    texts = odd_texts(300, seed=6) + [" ".join(rnd.choices(known, k=6)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["unread", *texts])], ["text"]).slice(1)
+    for size in (1, 200, 1 << 20):
+        parts = list(token_files.portions(batch, "text", size))
+        listed = [part.column("text").to_pylist() for part in parts]
+        assert sum(listed, []) == texts
+        assert all(len(some) == 1 or sum(len(x.encode()) for x in some) <= size for some in listed)
+        got = [np.frombuffer(ids, "<u4").tolist() for part in parts for ids in own.encode_all(part.column("text"))]
+        assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_marks_do_not_make_a_word_new():
+    """Each pre-token goes to the library's model once, whatever stands after it in a text."""
+    own = token_files.Encoder(P.path("byte_bpe_50k.json"))
+    asked, model = [], own.words.pieces.tokenize
+    own.words.pieces.tokenize = lambda shown: asked.append(shown) or model(shown)
+    own.encode_all(pa.array(["An anthle, anthle. anthle\nthen anthle; été, été.", "An anthle,\nthen"]))
+    assert sorted(asked) == sorted(["An", "Ġanthle", ",", ".", "Ċ", "then", ";", "ĠÃ©tÃ©"])
+
+
 def test_directly_addressable_codes():
     rnd = random.Random(3)
     for n in (0, 1, 511, 512, 513, 3000):
