@@ -35,7 +35,7 @@ from regional_balance.llm.common import free_name, partitions, slices, store, te
 
 MAGIC = b"DAC1"
 BLOCK = 512  # bits per entry of a rank directory
-REMEMBERED, REMEMBERED_PIECES = 600_000, 100_000
+REMEMBERED, REMEMBERED_PIECES = 1_200_000, 100_000
 
 #: Bytes of text whose words are looked up together.
 PORTION = 4 << 20
@@ -100,12 +100,16 @@ def access(image: bytes, i: int, at: int = 0) -> int:
 def unpack(image: bytes, at: int = 0) -> np.ndarray:
     """All integers of a sequence."""
     parts, _ = levels(image, at)
-    out = np.zeros(parts[0][0], np.uint32)
-    place = np.arange(len(out))
+    out, place = np.zeros(parts[0][0], np.uint32), None
     for k, (n, codes, bitmap, _) in enumerate(parts):
-        out[place] |= np.frombuffer(image, np.uint8, n, codes).astype(np.uint32) << np.uint32(8 * k)
-        more = np.unpackbits(np.frombuffer(image, np.uint8, (n + 7) // 8, bitmap), count=n, bitorder="little").astype(bool)
-        place = place[more]
+        chunk = np.frombuffer(image, np.uint8, n, codes).astype(np.uint32) << np.uint32(8 * k)
+        if place is None:
+            out |= chunk
+        else:
+            out[place] |= chunk
+        if k + 1 < len(parts):
+            more = np.unpackbits(np.frombuffer(image, np.uint8, (n + 7) // 8, bitmap), count=n, bitorder="little").view(bool)
+            place = np.flatnonzero(more) if place is None else place[more]
     return out
 
 
