@@ -23,15 +23,23 @@ def _pair(per_activity: DataFrame, supply: DataFrame, by: Sequence[str], activit
     S.require(supply, *by, "region_id", "activity", "supply_value", what="activity supply")
     demand = per_activity.select(*by, "activity", "demand_value")
     if activities is not None:
+        activities = list(dict.fromkeys(activities))
         demand = demand.filter(F.col("activity").isin(*activities))
-        if not by:
-            demand = F.broadcast(_one_row_each(demand))
+        if activities and not by:
+            demand = F.broadcast(_one_row_each(demand, activities))
     return supply.join(demand, [*by, "activity"], "inner")
 
 
-def _one_row_each(demand: DataFrame) -> DataFrame:
-    """(activity, demand_value), each activity once."""
-    folded = demand.groupBy("activity").agg(F.count("*").alias("_n"), F.first("demand_value").alias("demand_value"))
+def _one_row_each(demand: DataFrame, activities: Sequence[str]) -> DataFrame:
+    """(activity, demand_value), each listed activity once. All are folded into one row: no exchange is keyed by the few activities."""
+    kind = demand.schema["activity"].dataType
+    folds, entries = [], []
+    for i, activity in enumerate(activities):
+        own = F.col("activity") == activity
+        folds += [F.count(F.when(own, 1)).alias(f"_n_{i}"), F.max(F.when(own, F.col("demand_value"))).alias(f"_value_{i}")]
+        entry = [F.lit(activity).cast(kind).alias("activity"), F.col(f"_n_{i}").alias("_n"), F.col(f"_value_{i}").alias("demand_value")]
+        entries.append(F.struct(*entry))
+    folded = demand.agg(*folds).select(F.inline(F.array(*entries))).filter("_n > 0")
     twice = F.raise_error(F.concat(F.lit("activity demand has more than one row for "), F.coalesce("activity", F.lit("a missing activity"))))
     return folded.select("activity", F.when(F.col("_n") == 1, F.col("demand_value")).otherwise(twice.cast("double")).alias("demand_value"))
 
