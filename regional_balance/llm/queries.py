@@ -61,7 +61,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_suffix_index")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_index.remove_repeats(read(spark, sf_dir), length=400).drop("kept")
+    return suffix_index.remove_repeats(read(spark, sf_dir), length=400, words=50).drop("kept")
 
 
 @query("op6_token_files")

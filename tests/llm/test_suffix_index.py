@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -68,6 +69,67 @@ def test_edited_copies_in_batches(spark, monkeypatch, seed, group):
         assert got(df, length=100, batches=batches) == expected(rows, 100)
 
 
+def passage_words(rows, length):
+    """Words in windows of ``length`` words found twice or more, by doc_id and text."""
+    split = [(d, t, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in rows]
+    windows = lambda words: [tuple(words[i : i + length]) for i in range(len(words) - length + 1)]
+    seen = Counter(w for _, _, words in split for w in windows(words))
+    out = []
+    for d, t, words in split:
+        starts = [i for i, w in enumerate(windows(words)) if seen[w] > 1]
+        out.append((d, len((t or "").encode()), len({i + k for i in starts for k in range(length)})))
+    return Counter(out)
+
+
+def passages(df, **options):
+    return Counter((r.doc_id, r.n_bytes, r.n_passage_words) for r in suffix_index.remove_repeats(df, **options).collect())
+
+
+def test_passages_of_documents(documents, listed):
+    assert passages(documents) == passage_words(listed(documents), 50)
+
+
+def test_passages_of_odd_rows(odd, listed):
+    assert passages(odd, words=8, batches=3) == passage_words(listed(odd), 8)
+
+
+@pytest.mark.parametrize("group", [2, 4096])
+def test_edited_passages_in_batches(spark, monkeypatch, group):
+    """Few different words, edits and other white space in copies; small and large groups."""
+    monkeypatch.setattr(suffix_index, "GROUP", group)
+    rnd = random.Random(group)
+    new = lambda n: [rnd.choice(["a", "bé", "cdd", "e1"]) for _ in range(n)]
+    base, rows = new(80), []
+    for i in range(60):
+        words = base[rnd.randrange(20) : 80 - rnd.randrange(20)]
+        for _ in range(rnd.randint(0, 3)):
+            words[rnd.randrange(len(words))] = rnd.choice(["x", "a", "yy"])
+        words = [words, new(30) + words + new(5), words + words[3:]][rnd.randrange(3)]
+        rows.append((i, "".join(w + rnd.choice([" ", "\n", " \t "]) for w in words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for batches in (1, 5):
+        assert passages(df, words=14, batches=batches) == passage_words(rows, 14)
+
+
+def test_passages_of_short_words_are_told(spark):
+    """51 shared words take fewer bytes than a window: none is removed, all are counted, and lone texts have none."""
+    rnd = random.Random(7)
+    new = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=4)) for _ in range(n))
+    passage = new(51)
+    rows = [(i, f"{new(60)} {passage} {new(60)}") for i in range(20)] + [(100 + i, new(170)) for i in range(20)]
+    got = suffix_index.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(passage) < 400 and all(r.n_removed == 0 for r in got)
+    assert {r.doc_id: r.n_passage_words for r in got} == {d: 51 if d < 100 else 0 for d, _ in rows}
+
+
+def test_word_stretches(monkeypatch):
+    raw = " ".join(random.Random(8).choices(["a", "b", "cc"], k=900)).encode()
+    whole = {w: a for f, x, a in suffixes.word_runs(raw, 20)[0] for w in range(f, x + 1)}
+    monkeypatch.setattr(suffixes, "STRETCH", 200)
+    assert sorted(whole) == list(range(881))
+    assert whole == {w: a for f, x, a in suffixes.word_runs(raw, 20)[0] for w in range(f, x + 1)}
+
+
 def test_anchors_depend_on_windows_alone():
     rnd = random.Random(5)
     shared = bytes(rnd.choice(b"abcd") for _ in range(900))
