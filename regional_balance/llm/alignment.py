@@ -5,14 +5,16 @@ drives, and each of its offsets is found in the longer one by steps of doubling
 last step. Common offsets cut the tokens into groups (the ranks of two successive common offsets bound a slice of either
 list), and the last tokens of a group end together: they are linked.
 
-Texts are read in units that neither tokenizer's tokens cross, and a unit that has been aligned before in the same worker is
+Texts are read in units that neither tokenizer's tokens cross, and a unit that has been aligned before in the same task is
 taken from a table of fixed size. That saves time and changes no result: where one of the two files does not promise such
-units, or a unit's tokens don't give back its bytes, the whole text goes to the libraries at once. Byte-level units are
-encoded by rank where the file's merges are in the order of their ids (which is checked), else by the file's library.
+units, or a unit's tokens don't give back its bytes, the whole text goes to the libraries at once. The table is emptied where
+a task ends, so that a worker that waits holds the libraries alone. Byte-level units are encoded by rank where the file's
+merges are in the order of their ids (which is checked), else by the file's library.
 
 Corpus counts are made in Spark. A task folds the id pairs of some megabytes of text (a chunk) before anything is shuffled;
-pairs are counted, joined back to the chunks by key, and each chunk adds up its documents. A chunk is one row of bounded
-size unless a single text is larger. A pair that holds any share of all links is one row per chunk.
+pairs are counted, joined back to the chunks by key, and each chunk adds up its documents. A chunk is many small rows, one
+for each document and one for some thousand of its pairs, and it is read as a stream of its pairs' counts and then its
+documents: no row holds a whole chunk. A pair that holds any share of all links comes once a chunk.
 
 A null or empty text, and one whose tokens do not give back its bytes, has no tokens (zeros, empty digest). Repeated rows
 and repeated ids are aligned and counted like any others; a null id stays null. An empty table gives an empty result.
@@ -28,7 +30,7 @@ import re
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +46,12 @@ from regional_balance.llm.common import slices, stored, text_column, texts
 #: Characters of text whose pairs are folded together before they leave a task.
 CHUNK_CHARS = 2 << 20
 
-#: Units remembered by a worker (those of the last such number, and of the one before), and the longest that is.
+#: Units remembered by a task (those of the last such number, and of the one before), and the longest that is.
 REMEMBERED, REMEMBERED_CHARS = 120_000, 48
 
+#: Texts looked up together, and characters that the tokenizers get at once: lists of tokens take some hundred bytes for each.
+TEXTS, PORTION_CHARS = 16, 1 << 16
+
 #: Characters that definitions of white space differ on: texts with them go to the file's own library.
 _UNSURE = re.compile("[\x1c-\x1f\x85]")
 
@@ -62,7 +67,10 @@ _SPACED = re.compile(r"\s ")
 #: Bits for each of the counts that one number holds.
 PLACE = 48
 
-_CHUNK = "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, digest array<string>, links binary, keys array<long>, times array<long>"
+#: Pairs of a chunk in one row.
+PAIRS = 4096
+
+_CHUNK = "chunk long, doc_id long, n_a long, n_b long, n_groups long, digest string, links binary, first long, keys array<long>, times array<long>"
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -101,6 +109,19 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+def portions(units: Sequence[str], most: int) -> Iterator[list[str]]:
+    """Units in their order, in lists of up to ``most`` characters or of one unit."""
+    out, size = [], 0
+    for unit in units:
+        if out and size + len(unit) > most:
+            yield out
+            out, size = [], 0
+        out.append(unit)
+        size += len(unit) + 1
+    if out:
+        yield out
+
+
 class Aligner:
     """The two libraries, the bytes of their tokens, and units aligned before."""
 
@@ -192,7 +213,7 @@ class Aligner:
 
     def learn(self, units: Iterable[str]) -> dict[str, tuple | None]:
         """Alignments of units (without the space that each starts with), taken from those seen before if they are; the others
-        go to the tokenizers as one text, if they can."""
+        go to the tokenizers as texts of ``PORTION_CHARS`` or one unit, if they can."""
         if len(self.seen) >= REMEMBERED:
             self.before, self.seen = self.seen, {}
         out, fresh, alone = {}, [], []
@@ -206,14 +227,14 @@ class Aligner:
                     continue
                 self.seen[unit] = got
             out[unit] = got
-        if fresh:
-            ends = list(accumulate([len(u.encode()) + 1 for u in fresh]))
-            found = None if _UNSURE.search("".join(fresh)) else self.align(" " + " ".join(fresh), ends)
+        for portion in portions(fresh, PORTION_CHARS):
+            ends = list(accumulate([len(u.encode()) + 1 for u in portion]))
+            found = None if _UNSURE.search("".join(portion)) else self.align(" " + " ".join(portion), ends)
             if found is None:
-                alone += fresh
+                alone += portion
             else:
-                out.update(zip(fresh, found, strict=True))
-                self.seen.update((u, got) for u, got in zip(fresh, found, strict=True) if len(u) <= REMEMBERED_CHARS)
+                out.update(zip(portion, found, strict=True))
+                self.seen.update((u, got) for u, got in zip(portion, found, strict=True) if len(u) <= REMEMBERED_CHARS)
         for unit in alone:
             found = self.align(f" {unit}", [len(unit.encode()) + 1])
             out[unit] = got = found[0] if found else None
@@ -221,6 +242,10 @@ class Aligner:
                 self.seen[unit] = got
         return out
 
+    def forget(self) -> None:
+        """Empty the tables; the libraries stay."""
+        self.seen, self.before = {}, {}
+
     def documents(self, texts: Sequence[str]) -> list[tuple[int, int, int, str, bytes]]:
         """(tokens of a, of b, groups, digest of the groups, linked pairs) of texts."""
         cut = [self._units(t) if t and self.in_units else [] for t in texts]
@@ -251,40 +276,59 @@ def aligner(byte_level: str, pieces: str) -> Aligner:
 
 
 def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """One row per chunk of documents: ids, token counts and digests of each, ``links`` (for each link its place in ``keys``
-    as unsigned 32-bit integers, document after document), the distinct pairs ``keys`` and how many ``times`` each is linked."""
+    """Rows of chunks of documents, of two kinds. Documents have their id, token counts, digest and ``links`` (for each link its
+    place among the chunk's distinct pairs, as unsigned 32-bit integers). Pairs have ``keys``, ascending, how many ``times``
+    each is linked in the chunk, and the place of the ``first`` of the row. What is of the other kind is null."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
+    long, longs = pa.int64(), pa.list_(pa.int64())
+    types = {"chunk": long, "doc_id": long, "n_a": long, "n_b": long, "n_groups": long, "digest": pa.string(), "links": pa.binary()}
+    types |= {"first": long, "keys": longs, "times": longs}
+
+    def batch_of(chunk: int, n: int, given: dict[str, Sequence]) -> pa.RecordBatch:
+        given = given | {"chunk": [chunk] * n}
+        columns = [given.get(c) for c in types]
+        arrays = [pa.nulls(n, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, [*types])
 
-    def fold(chunk: int, ids: list, found: list[tuple]) -> pa.RecordBatch:
+    def fold(chunk: int, ids: list, found: list[tuple]) -> Iterator[pa.RecordBatch]:
         pairs = np.frombuffer(b"".join([f[4] for f in found]), np.int64)
         keys, places, times = np.unique(pairs, return_inverse=True, return_counts=True)
-        columns = [ids, *([f[k] for f in found] for k in (0, 1, 2, 3)), places.astype("<u4").tobytes(), keys, times]
-        types = [*[pa.list_(pa.int64())] * 4, pa.list_(pa.string()), pa.binary(), *[pa.list_(pa.int64())] * 2]
-        arrays = [pa.array([c], t) for c, t in zip(columns, types, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *arrays], [c.split()[0] for c in _CHUNK.split(", ")])
+        ends = pa.array([4 * end for end in accumulate([f[2] for f in found], initial=0)], pa.int32())
+        n_a, n_b, n_groups, digest = ([f[k] for f in found] for k in range(4))
+        of_documents = {"doc_id": ids, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "digest": digest}
+        links = pa.Array.from_buffers(pa.binary(), len(ids), [None, ends.buffers()[1], pa.py_buffer(places.astype("<u4"))])
+        yield batch_of(chunk, len(ids), of_documents | {"links": links})
+        firsts = range(0, len(keys), PAIRS)
+        if firsts:
+            of_pairs = {name: [values[i : i + PAIRS] for i in firsts] for name, values in (("keys", keys), ("times", times))}
+            yield batch_of(chunk, len(firsts), of_pairs | {"first": firsts})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = aligner(byte_level, pieces)
         chunk = TaskContext.get().partitionId() << 32
         ids, found, size = [], [], 0
-        for batch in slices(batches, 256):
-            values = texts(batch)
-            for key, text, got in zip(batch.column("doc_id").to_pylist(), values, work.documents(values), strict=True):
-                ids.append(key)
-                found.append(got)
-                size += len(text)
-                if size >= CHUNK_CHARS:
-                    yield fold(chunk, ids, found)
-                    chunk, ids, found, size = chunk + 1, [], [], 0
-        if ids:
-            yield fold(chunk, ids, found)
+        try:
+            for batch in slices(batches, TEXTS):
+                values = texts(batch)
+                for key, text, got in zip(batch.column("doc_id").to_pylist(), values, work.documents(values), strict=True):
+                    ids.append(key)
+                    found.append(got)
+                    size += len(text)
+                    if size >= CHUNK_CHARS:
+                        yield from fold(chunk, ids, found)
+                        chunk, ids, found, size = chunk + 1, [], [], 0
+            if ids:
+                yield from fold(chunk, ids, found)
+        finally:
+            work.forget()
 
     return rows.mapInArrow(run, _CHUNK)
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
     """(key, n_pair, best): links of each id pair over the whole corpus, and whether no pair of its b id has more."""
-    pairs = chunks.select(F.explode(F.arrays_zip("keys", "times")).alias("p")).groupBy(F.col("p.keys").alias("key"))
+    pairs = chunks.where("keys IS NOT NULL").select(F.explode(F.arrays_zip("keys", "times")).alias("p"))
+    pairs = pairs.groupBy(F.col("p.keys").alias("key"))
     counted = pairs.agg(F.sum("p.times").alias("n_pair")).withColumn("id_b", F.col("key").bitwiseAND(0xFFFFFFFF))
     most = counted.groupBy("id_b").agg(F.max("n_pair").alias("most"))
     return counted.join(most, "id_b").select("key", "n_pair", (F.col("n_pair") == F.col("most")).alias("best"))
@@ -294,24 +338,41 @@ def align_tokenizers(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame
     """One row per document: tokens under either tokenizer, groups, links, links whose pair is its b id's commonest, the
     links' corpus counts added up, and the digest of the groups."""
     chunks, _ = stored(aligned_chunks(docs, byte_level, pieces), "aligned-chunks")
-    placed = chunks.select("chunk", F.posexplode(F.arrays_zip("keys", "times")).alias("place", "p"))
-    placed = placed.select("chunk", "place", F.col("p.keys").alias("key")).join(pair_counts(chunks), "key")
-    totals = placed.groupBy("chunk").agg(F.collect_list(F.struct("place", "n_pair", "best")).alias("totals"))
-    whole = chunks.drop("keys", "times").join(totals, "chunk", "left")
+    placed = chunks.where("keys IS NOT NULL").select("chunk", "first", F.posexplode(F.arrays_zip("keys", "times")).alias("at", "p"))
+    placed = placed.select("chunk", (F.col("first") + F.col("at")).alias("place"), F.col("p.keys").alias("key"))
+    totals = placed.join(pair_counts(chunks), "key").select("chunk", "place", "n_pair", "best")
+    doc = F.struct("doc_id", "n_a", "n_b", "n_groups", "digest", "links").alias("doc")
+    both = totals.unionByName(chunks.where("links IS NOT NULL").select("chunk", doc), allowMissingColumns=True)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+        """(chunk, whether of documents, rows) of successive rows that agree in the first two."""
+        for batch in batches:
+            chunk = batch.column("chunk").to_numpy(zero_copy_only=False)
+            of_documents = batch.column("place").is_null().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((chunk[1:] != chunk[:-1]) | (of_documents[1:] != of_documents[:-1])) + 1
+            for start, end in pairwise([0, *cuts.tolist(), batch.num_rows]):
+                if start < end:
+                    yield int(chunk[start]), bool(of_documents[start]), batch.slice(start, end - start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            found = batch.column("totals").flatten()
-            place = found.field("place").to_numpy(zero_copy_only=False)
-            sums, best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-            sums[place] = found.field("n_pair").to_numpy(zero_copy_only=False)
-            best[place] = found.field("best").to_numpy(zero_copy_only=False)
-            ids, n_a, n_b, n_groups, digest = (batch.column(c).flatten() for c in ("doc_id", "n_a", "n_b", "n_groups", "digest"))
-            links = np.frombuffer(batch.column("links")[0].as_buffer(), "<u4")
-            ends = np.concatenate(([0], np.cumsum(n_groups.to_numpy(zero_copy_only=False))))
-            running = [np.concatenate(([0], np.cumsum(v[links]))) for v in (best, sums)]
-            n_best, count_sum = (pa.array(r[ends[1:]] - r[ends[:-1]], pa.int64()) for r in running)
-            columns = [ids, n_a, n_b, n_groups, n_groups, n_best, count_sum, digest]
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _RESULT.split(", ")])
-
-    return whole.mapInArrow(run, _RESULT)
+        of, read, values = None, [], None
+        for chunk, of_documents, batch in parts(batches):
+            if chunk != of:
+                of, read, values = chunk, [], None
+            if not of_documents:
+                read.append([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("best", "n_pair")])
+                continue
+            if values is None:  # places of a chunk come in their order, without gaps
+                values = [np.concatenate([np.zeros(0, np.int64), *v]) for v in zip(*read, strict=True)] or [np.zeros(0, np.int64)] * 2
+                read = []
+            for some in slices([batch], 256):
+                ids, n_a, n_b, n_groups, digest, links = some.column("doc").flatten()
+                links = np.frombuffer(b"".join(links.to_pylist()), "<u4")
+                ends = np.concatenate(([0], np.cumsum(n_groups.to_numpy(zero_copy_only=False))))
+                running = [np.concatenate(([0], np.cumsum(v[links]))) for v in values]
+                n_best, count_sum = (pa.array(r[ends[1:]] - r[ends[:-1]], pa.int64()) for r in running)
+                columns = [ids, n_a, n_b, n_groups, n_groups, n_best, count_sum, digest]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _RESULT.split(", ")])
+
+    ordered = both.repartition("chunk").sortWithinPartitions("chunk", F.col("place").asc_nulls_last())
+    return ordered.mapInArrow(run, _RESULT)

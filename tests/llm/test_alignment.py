@@ -112,3 +112,28 @@ def test_remembered_units_change_nothing(documents, libraries, listed, monkeypat
     got = [work.documents([text or ""])[0] for _, text in rows]
     want = {r[0]: r for r in brute([(i, text) for i, (_, text) in enumerate(rows)], libraries)}
     assert [(g[0], g[1], g[2], g[3]) for g in got] == [(want[i][1], want[i][2], want[i][3], want[i][7]) for i in range(len(rows))]
+
+
+def test_tokenizers_get_portions_and_tasks_forget(libraries, monkeypatch):
+    monkeypatch.setattr(alignment, "PORTION_CHARS", 200)
+    work, sizes = alignment.Aligner(BYTES, PIECES), []
+    plain = work.groups
+    monkeypatch.setattr(work, "groups", lambda spaced: sizes.append(len(spaced)) or plain(spaced))
+    text = " ".join(f"w{i}" for i in range(2000)) + " " + "y" * 500
+    [(_, *want)] = brute([(0, text)], libraries)
+    assert work.documents([text])[0][3] == want[-1]
+    assert len(sizes) > 10 and sorted(sizes)[-2] <= 201 and max(sizes) == 501
+    assert work.seen
+    work.forget()
+    assert not work.seen and not work.before
+
+
+def test_chunks_are_small_rows(documents, libraries, listed, monkeypatch):
+    monkeypatch.setattr(alignment, "PAIRS", 7)
+    one = documents.limit(60).coalesce(1)
+    chunks = alignment.aligned_chunks(one, BYTES, PIECES).collect()
+    docs, pairs = [r for r in chunks if r.links is not None], [r for r in chunks if r["keys"] is not None]
+    assert len(docs) == 60 and len(docs) + len(pairs) == len(chunks) and all(len(r.links) == 4 * r.n_groups for r in docs)
+    assert all(0 < len(r["keys"]) == len(r.times) <= 7 for r in pairs)
+    assert [r.first for r in pairs] == list(range(0, 7 * len(pairs), 7)) and sum(sum(r.times) for r in pairs) == sum(r.n_groups for r in docs)
+    assert result(alignment.align_tokenizers(one, BYTES, PIECES)) == brute(listed(one), libraries)
